@@ -172,7 +172,7 @@ _RULES = "rules as (" + " union all ".join(
 ) + ")"
 _DIGESTS = """
 digests as (
-  select event_id, cast(count(*) as integer) as alerts, 'Severe weather alert' as subject,
+  select event_id, 'Severe weather alert' as subject,
          'Severe weather alert:' || chr(10) || chr(10)
            || string_agg(message, chr(10) order by rule_order) as message
   from rules group by event_id
@@ -245,7 +245,7 @@ ORACLE_SQL: dict[str, str] = {
         *_ALERTS[:3],
     ),
     "alert_digests": _with_docs(
-        "select event_id, label, alerts, subject, message from digests join inputs using (event_id)",
+        "select event_id, label, subject, message from digests join inputs using (event_id)",
         *_ALERTS,
     ),
     "alert_summary": _with_docs(
@@ -268,7 +268,7 @@ ORACLE_SQL: dict[str, str] = {
     "silver_stream": _with_docs(f"select {_SILVER_COLUMNS} from docs"),
     "alerts_stream": _with_docs(
         "select i.datetime_utc, i.location_name, i.label, i.location_incomplete,"
-        " d.alerts, d.subject, d.message"
+        " d.subject, d.message"
         " from records r join inputs i using (event_id) join digests d using (event_id)"
         " where r.decode_error is null",
         *_ALERTS,

@@ -32,11 +32,14 @@ def mean_2(units: str, unit_rows: str, total: str, rows: str) -> Column:
     ``units``/``unit_rows``: sum and count of the exact unit values; ``total``/``rows``: sum and
     count of all values as doubles.
     """
+    # Cents truncated towards zero, plus one away from zero for a remainder of half a cent or more.
+    per_cent = f"nullif({rows} * {_UNITS_PER_CENT}, 0L)"
+    carry = f"case when {units} < 0 then -1L else 1L end"
     cents = F.expr(
-        f"(abs(cast({units} as decimal(20, 0))) * 2 + {rows} * {_UNITS_PER_CENT})"
-        f" div nullif({rows} * {2 * _UNITS_PER_CENT}, 0)"
+        f"{units} div {per_cent}"
+        f" + case when abs({units} % {per_cent}) * 2 >= {per_cent} then {carry} else 0L end"
     )
-    exact = F.when(F.col(units) < 0, -cents).otherwise(cents) / F.lit(100.0)
+    exact = cents / F.lit(100.0)
     # Fifteen significant digits bring a decimal tie back before it is rounded.
     fifteen_digits = F.format_string("%.14e", F.col(total) / F.col(rows)).try_cast("double")
     is_exact = F.col(units).isNotNull() & (F.col(unit_rows) == F.col(rows))

@@ -1,8 +1,8 @@
 """Every operator as a query over the ``events`` table of a data folder.
 
 Documents are derived from all events. Queries about reading, landing and streaming go through JSON
-files in a scratch folder; the others work on the nested documents, so that Catalyst prunes the scan
-down to the columns a query needs.
+text or files in a scratch folder; the others start at the flat fields, so that Catalyst prunes the
+scan and the derivation down to what a query needs.
 """
 
 from __future__ import annotations
@@ -12,15 +12,19 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.functions.casts import local_day
 from skyledger.operators import alerts, gold
-from skyledger.operators.silver import to_silver
+from skyledger.operators.silver import to_silver, typed_silver
 from skyledger.plans import refresh
 from skyledger.plans.storage import Deployment, scratch_folder
 from skyledger.sinks.tables import land_documents, land_lines
 from skyledger.sources import envelope
 from skyledger.sources.raw import parse_documents, read_raw, to_lines, well_formed
-from skyledger.sources.sample_documents import events_table, weather_documents
+from skyledger.sources.sample_documents import (
+    events_table,
+    spread,
+    weather_documents,
+    weather_fields,
+)
 from skyledger.sources.schema import (
     EVENT_COLUMNS,
     LOCATION_KEY,
@@ -39,11 +43,15 @@ SECOND_DAY = date(2024, 2, 1)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weather_documents(events_table(spark, sf_dir))
+    return weather_documents(spread(events_table(spark, sf_dir)))
+
+
+def _fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weather_fields(events_table(spark, sf_dir))
 
 
 def _silver(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
-    return to_silver(_documents(spark, sf_dir), **options)
+    return typed_silver(_fields(spark, sf_dir), **options)
 
 
 def _new_deployment(spark: SparkSession, label: str) -> Deployment:
@@ -119,9 +127,8 @@ def silver_location_double(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_local_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    time = F.col("data.time")
-    return _documents(spark, sf_dir).select(
-        "event_id", time.alias("datetime_utc"), local_day(time).alias("datetime_brasil")
+    return _silver(spark, sf_dir, keep=["event_id"]).select(
+        "event_id", "datetime_utc", "datetime_brasil"
     )
 
 
@@ -151,7 +158,7 @@ def gold_from_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.alert_inputs(_documents(spark, sf_dir), keep=["event_id"])
+    return alerts.alert_inputs(_fields(spark, sf_dir), keep=["event_id"])
 
 
 def alert_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +168,7 @@ def alert_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def location_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.location_labels(_documents(spark, sf_dir), keep=["event_id"])
+    return alerts.location_labels(_fields(spark, sf_dir), keep=["event_id"])
 
 
 def alert_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

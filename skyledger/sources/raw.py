@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from skyledger.functions.parsing import parse_json
 from skyledger.sources.schema import CORRUPT, DOCUMENT_SCHEMA, RAW_SCHEMA, TEXT_LINE
 
 RAW_GLOB = "*/*/*"
 
 
-def _configured(reader, recursive: bool, options: dict[str, str]):
-    return (
+def _read(reader, path: str, glob: str, recursive: bool, options) -> DataFrame:
+    configured = (
         reader.schema(RAW_SCHEMA)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", str(recursive).lower())
         .options(**options)
     )
-
-
-def _location(path: str, glob: str, recursive: bool) -> str:
-    return path if recursive or not glob else f"{path.rstrip('/')}/{glob}"
+    return configured.json(path if recursive or not glob else f"{path.rstrip('/')}/{glob}")
 
 
 def read_raw(
@@ -30,12 +30,13 @@ def read_raw(
     recursive: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Documents below ``path``; a line that is not JSON keeps its text in ``_corrupt_record``.
+    """Documents below ``path``, numbers as text; a line that is not JSON keeps its text in
+    ``_corrupt_record``.
 
     The schema is explicit: there is no inference pass, and a field that no file has is NULL.
     ``glob`` reads files at depth three and four; ``recursive`` reads any depth instead.
     """
-    return _configured(spark.read, recursive, options).json(_location(path, glob, recursive))
+    return _read(spark.read, path, glob, recursive, options)
 
 
 def stream_raw(
@@ -50,14 +51,14 @@ def stream_raw(
     The file source forgets files older than ``maxFileAge`` before the newest one and would skip
     one that arrives with such an old time stamp. The default here keeps every file.
     """
-    options = {"maxFileAge": "36500d", **options}
-    return _configured(spark.readStream, recursive, options).json(_location(path, glob, recursive))
+    return _read(spark.readStream, path, glob, recursive, {"maxFileAge": "36500d", **options})
 
 
-def parse_documents(lines: DataFrame, column: str = TEXT_LINE, keep: tuple[str, ...] = ()) -> DataFrame:
+def parse_documents(
+    lines: DataFrame, column: str = TEXT_LINE, keep: Sequence[str] = ()
+) -> DataFrame:
     """Documents out of a text column, in the shape of ``read_raw``."""
-    parsed = F.from_json(column, RAW_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT})
-    return lines.select(*keep, parsed.alias("document")).select(*keep, "document.*")
+    return parse_json(lines, column, RAW_SCHEMA, keep, columnNameOfCorruptRecord=CORRUPT)
 
 
 def well_formed(documents: DataFrame) -> DataFrame:
@@ -69,7 +70,7 @@ def quarantine(documents: DataFrame) -> DataFrame:
     return documents.where(F.col(CORRUPT).isNotNull())
 
 
-def to_lines(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def to_lines(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Documents as JSON text; NULL fields are left out of the text."""
     document = F.struct(*DOCUMENT_SCHEMA.names)
     return documents.select(*keep, F.to_json(document).alias(TEXT_LINE))

@@ -5,9 +5,9 @@ The expressions are plain SQL that reads the same in Spark and in the checking e
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.sources.schema import MEASUREMENTS
+from skyledger.sources.schema import MEASUREMENTS, snake_case
 
 
 def _hundredths(expression: str) -> str:
@@ -67,17 +67,30 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """Over all cores, when the table has fewer splits than that: one small file is one split,
+    which would leave all of the JSON work to one task. A large table stays as it is."""
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
+
+
+def weather_fields(events: DataFrame) -> DataFrame:
+    """``event_id`` plus the fields of one weather document per event, as flat columns."""
+    return events.selectExpr(
+        "event_id",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") as datetime_utc",
+        f"{NAME} as location_name",
+        f"{LATITUDE} as latitude",
+        f"{LONGITUDE} as longitude",
+        *(f"{VALUES[m]} as {snake_case(m)}" for m in MEASUREMENTS),
+    )
+
+
 def weather_documents(events: DataFrame) -> DataFrame:
-    """``event_id`` plus one weather document per event, in the shape of the raw zone."""
-    return events.select(
+    """``event_id`` plus one nested weather document per event, in the shape of the raw zone."""
+    values = ", ".join(f"{snake_case(m)} as {m}" for m in MEASUREMENTS)
+    return weather_fields(events).selectExpr(
         "event_id",
-        F.struct(
-            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"),
-            F.struct(*(F.expr(VALUES[m]).alias(m) for m in MEASUREMENTS)).alias("values"),
-        ).alias("data"),
-        F.struct(
-            F.expr(LATITUDE).alias("lat"),
-            F.expr(LONGITUDE).alias("lon"),
-            F.expr(NAME).alias("name"),
-        ).alias("location"),
+        f"struct(datetime_utc as time, struct({values}) as values) as data",
+        "struct(latitude as lat, longitude as lon, location_name as name) as location",
     )

@@ -41,24 +41,14 @@ def snake_case(name: str) -> str:
     return re.sub(r"(?<=[a-z])([A-Z])", r"_\1", name).lower()
 
 
-# Numbers are read as text, so an alert shows 25 as 25 and 25.5 as 25.5; silver casts them.
-DATA_TYPE = T.StructType(
-    [
-        T.StructField("time", T.StringType()),
-        T.StructField(
-            "values", T.StructType([T.StructField(m, T.StringType()) for m in MEASUREMENTS])
-        ),
-    ]
-)
-LOCATION_TYPE = T.StructType(
-    [
-        T.StructField("lat", T.StringType()),
-        T.StructField("lon", T.StringType()),
-        T.StructField("name", T.StringType()),
-    ]
-)
-DOCUMENT_SCHEMA = T.StructType(
-    [T.StructField("data", DATA_TYPE), T.StructField("location", LOCATION_TYPE)]
+# Numbers are read as text: an alert shows 25 as 25 and 25.5 as 25.5, and silver casts leniently, so
+# that a bad value costs that value and not its record.
+_TEXT = T.StringType()
+_VALUES = T.StructType([T.StructField(m, _TEXT) for m in MEASUREMENTS])
+DOCUMENT_SCHEMA = (
+    T.StructType()
+    .add("data", T.StructType().add("time", _TEXT).add("values", _VALUES))
+    .add("location", T.StructType().add("lat", _TEXT).add("lon", _TEXT).add("name", _TEXT))
 )
 RAW_SCHEMA = T.StructType([*DOCUMENT_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
 
