@@ -7,13 +7,15 @@ from pyspark.sql import Column, functions as F
 LOCAL_ZONE = "America/Sao_Paulo"
 
 
-def as_double(value: Column) -> Column:
-    return value.try_cast("double")
+def as_double(value: Column, is_text: bool = True) -> Column:
+    """A number or NULL. As text, the JSON words NaN and Infinity come in double quotes."""
+    number = value.try_cast("double")
+    return F.coalesce(number, F.btrim(value, F.lit('"')).try_cast("double")) if is_text else number
 
 
-def as_int(value: Column) -> Column:
+def as_int(value: Column, is_text: bool = True) -> Column:
     """Through double, so that ``1000.0`` becomes 1000 rather than NULL."""
-    return as_double(value).try_cast("int")
+    return as_double(value, is_text).try_cast("int")
 
 
 def local_day(utc_text: Column, zone: str = LOCAL_ZONE) -> Column:

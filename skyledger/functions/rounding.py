@@ -13,6 +13,8 @@ from pyspark.sql import Column, functions as F
 
 UNITS_PER_ONE = 10_000
 _UNITS_PER_CENT = UNITS_PER_ONE // 100
+# Leaves room to add half a cent per row without overflow.
+_SAFE_SUM = 4 * 10**18
 
 
 def whole_units(value: Column) -> Column:
@@ -32,15 +34,18 @@ def mean_2(units: str, unit_rows: str, total: str, rows: str) -> Column:
     ``units``/``unit_rows``: sum and count of the exact unit values; ``total``/``rows``: sum and
     count of all values as doubles.
     """
-    # Cents truncated towards zero, plus one away from zero for a remainder of half a cent or more.
-    per_cent = f"nullif({rows} * {_UNITS_PER_CENT}, 0L)"
-    carry = f"case when {units} < 0 then -1L else 1L end"
+    # Integer division truncates towards zero, so half a cent is added away from zero first.
+    half = f"{rows} * {_UNITS_PER_CENT // 2}L"
     cents = F.expr(
-        f"{units} div {per_cent}"
-        f" + case when abs({units} % {per_cent}) * 2 >= {per_cent} then {carry} else 0L end"
+        f"({units} + case when {units} < 0 then -{half} else {half} end)"
+        f" div ({rows} * {_UNITS_PER_CENT}L)"
     )
     exact = cents / F.lit(100.0)
     # Fifteen significant digits bring a decimal tie back before it is rounded.
     fifteen_digits = F.format_string("%.14e", F.col(total) / F.col(rows)).try_cast("double")
-    is_exact = F.col(units).isNotNull() & (F.col(unit_rows) == F.col(rows))
+    is_exact = (
+        (F.col(rows) > 0)
+        & (F.col(unit_rows) == F.col(rows))
+        & F.col(units).between(-_SAFE_SUM, _SAFE_SUM)
+    )
     return F.when(is_exact, exact).when(F.col(rows) > 0, round_2(fifteen_digits))

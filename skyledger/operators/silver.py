@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from skyledger.functions.casts import as_double, as_int, local_day
 from skyledger.sources.schema import LOCAL_DAY, MEASUREMENTS, WHOLE_NUMBERS, snake_case
@@ -38,17 +38,20 @@ def typed_silver(
         raise ValueError(f"location_mode must be 'string' or 'double', not {location_mode!r}")
     name = F.col("location_name")
     time = F.col("datetime_utc").cast("string")
+    texts = {f.name for f in fields.schema if isinstance(f.dataType, T.StringType)}
+
+    def number(column: str, cast=as_double) -> Column:
+        return cast(F.col(column), is_text=column in texts).alias(column)
+
     now = F.current_timestamp() if ingested_at is None else F.lit(ingested_at).cast("timestamp")
     return fields.select(
-        (as_double(name) if location_mode == "double" else name.cast("string")).alias(
-            "location_name"
-        ),
-        as_double(F.col("latitude")).alias("latitude"),
-        as_double(F.col("longitude")).alias("longitude"),
+        number("location_name") if location_mode == "double" else name.cast("string"),
+        number("latitude"),
+        number("longitude"),
         time.alias("datetime_utc"),
         local_day(time).alias(LOCAL_DAY),
         *(
-            (as_int if m in WHOLE_NUMBERS else as_double)(F.col(snake_case(m))).alias(snake_case(m))
+            number(snake_case(m), as_int if m in WHOLE_NUMBERS else as_double)
             for m in MEASUREMENTS
         ),
         now.cast("date").alias("ingestion_at"),

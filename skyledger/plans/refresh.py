@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger.operators.gold import (
@@ -40,15 +42,22 @@ def refresh_gold(spark: SparkSession, deployment: Deployment) -> int:
     newest = last_refresh(spark, deployment)
     number, slot = (0, 0) if newest is None else (newest[0] + 1, 1 - newest[1])
 
-    def replace(name: str, table: DataFrame) -> None:
-        table.write.mode("overwrite").parquet(deployment.gold(slot, name))
+    def replace(tables: dict[str, DataFrame]) -> None:
+        def write(name: str) -> None:
+            tables[name].write.mode("overwrite").parquet(deployment.gold(slot, name))
+
+        # Independent small jobs: none of them fills a cluster, so they share it.
+        with ThreadPoolExecutor(len(tables)) as pool:
+            list(pool.map(inheritable_thread_target(spark)(write), tables))
 
     states = read_rollup(spark, deployment)
-    replace(DAILY_WIDE, daily_wide_from_rollup(states))
-    replace("weather_condition_summary", weather_codes_from_rollup(states))
-    wide = spark.read.parquet(deployment.gold(slot, DAILY_WIDE))
-    for name, table in daily_tables(wide).items():
-        replace(name, table)
+    replace(
+        {
+            DAILY_WIDE: daily_wide_from_rollup(states),
+            "weather_condition_summary": weather_codes_from_rollup(states),
+        }
+    )
+    replace(daily_tables(spark.read.parquet(deployment.gold(slot, DAILY_WIDE))))
 
     done = spark.range(1).select(
         F.lit(number).cast("bigint").alias("refresh"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from skyledger.operators.gold import rollup
 from skyledger.plans.storage import Deployment, load_folder
-from skyledger.sources.raw import quarantine, to_lines, well_formed
+from skyledger.sources.raw import to_lines
 from skyledger.sources.schema import CORRUPT, LOCAL_DAY, SILVER_COLUMNS, TEXT_LINE
 from skyledger.sources.tables import read_silver
 
@@ -53,21 +53,24 @@ def write_load(
     is something to put there. The rollup reads the columns it needs from the files just written.
     With ``gather_days=False`` nothing is shuffled; fit for input that arrives by day.
     """
-    seen = Observation()
-    counted = silver.observe(
-        seen,
+    counts = (
         F.count(F.lit(1)).alias("rows_read"),
         F.count(F.col(CORRUPT)).alias("rows_corrupt"),
     )
-    good = well_formed(counted)
+    seen = Observation()
+    good = silver.observe(seen, *counts).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     target = load_folder(deployment.silver, load_id)
-    (_by_day(good) if gather_days else good).write.mode("overwrite").partitionBy(LOCAL_DAY).parquet(target)
-    read, corrupt = seen.get["rows_read"], seen.get["rows_corrupt"]
-    if corrupt:
-        spoilt = quarantine(silver)
-        spoilt.write.mode("overwrite").parquet(load_folder(deployment.quarantine, load_id))
+    arranged = _by_day(good) if gather_days else good
+    arranged.write.mode("overwrite").partitionBy(LOCAL_DAY).parquet(target)
     written = read_silver(silver.sparkSession, target, schema=good.schema)
+
+    # Adaptive execution drops the observation along with an empty shuffle.
+    counted = silver.agg(*counts).first().asDict() if written.isEmpty() else seen.get
+    if counted["rows_corrupt"]:
+        spoilt = silver.where(F.col(CORRUPT).isNotNull())
+        spoilt.write.mode("overwrite").parquet(load_folder(deployment.quarantine, load_id))
     rollup(written).write.mode("overwrite").parquet(load_folder(deployment.rollup, load_id))
+    read, corrupt = counted["rows_read"], counted["rows_corrupt"]
     return LoadMetrics(read, corrupt, read - corrupt)
 
 

@@ -1,0 +1,233 @@
+"""Landing, loads, refreshes and streams over real folders."""
+
+from __future__ import annotations
+
+import json
+import tempfile
+from datetime import date
+from unittest.mock import patch
+
+import pytest
+from pyspark.sql import DataFrameWriter, functions as F
+from pyspark.sql.readwriter import DataFrameReader
+
+from skyledger.operators import gold
+from skyledger.plans import refresh
+from skyledger.plans.storage import Deployment, scratch_folder
+from skyledger.sinks import tables as sinks
+from skyledger.sources.envelope import read_envelopes, stream_envelopes, to_envelopes
+from skyledger.sources.raw import read_raw, well_formed
+from skyledger.sources.sample_documents import events_table, weather_documents
+from skyledger.sources.tables import (
+    last_refresh,
+    read_gold,
+    read_rollup,
+    read_silver,
+    read_silver_jdbc,
+    register_views,
+)
+from skyledger.streaming import ingest
+from skyledger.streaming.alerts import digests_of, publish_digests, write_digests
+
+from helpers import document, documents_frame, plan_text, write_lines
+
+DATA = "/root/testdata/sf0.001"
+DAY = date(2025, 4, 10)
+
+
+@pytest.fixture
+def deployment(tmp_path):
+    return Deployment(str(tmp_path / "deployment"))
+
+
+@pytest.fixture
+def documents(spark):
+    return weather_documents(events_table(spark, DATA))
+
+
+def rows(frame):
+    return sorted(map(tuple, frame.collect()), key=repr)
+
+
+def test_landing_round_trip(spark, deployment, documents):
+    sinks.land_documents(documents, deployment.raw, DAY)
+    back = well_formed(read_raw(spark, deployment.raw))
+    assert back.count() == documents.count()
+    files = read_raw(spark, deployment.raw).select("_metadata.file_path").distinct().collect()
+    assert all("/raw/2025/04/10/" in f.file_path for f in files)
+
+
+def test_full_appends_repeat_records_and_incremental_runs_do_not(spark, tmp_path, documents):
+    full, once = Deployment(str(tmp_path / "full")), Deployment(str(tmp_path / "once"))
+    sinks.land_documents(documents, full.raw, DAY)
+    for _ in range(2):
+        refresh.run(spark, full, mode="append_full")
+        refresh.run(spark, once, raw=full.raw)
+    n = documents.count()
+    assert read_silver(spark, full.silver).count() == 2 * n
+    assert read_silver(spark, once.silver).count() == n
+
+    def codes(deployment):
+        table = read_gold(spark, deployment, "weather_condition_summary")
+        return table.agg(F.sum("weather_code_count")).first()[0]
+
+    assert (codes(full), codes(once)) == (2 * n, n)
+    assert rows(read_gold(spark, full, "avg_temperature_daily")) == rows(
+        read_gold(spark, once, "avg_temperature_daily")
+    )
+    with pytest.raises(ValueError):
+        refresh.run(spark, once, mode="sometimes")
+
+
+def test_gold_equals_tables_built_from_silver(spark, deployment, documents):
+    sinks.land_documents(documents.where("event_id % 2 = 0"), deployment.raw, DAY)
+    refresh.run(spark, deployment)
+    sinks.land_documents(documents.where("event_id % 2 = 1"), deployment.raw, date(2025, 4, 11))
+    refresh.run(spark, deployment, gather_days=False)
+    silver = read_silver(spark, deployment.silver)
+    for name in gold.GOLD_TABLES:
+        stored = read_gold(spark, deployment, name)
+        assert rows(stored) == rows(gold.gold_table(silver, name)), name
+
+
+def test_refreshes_alternate_slots_and_survive_a_crash(spark, deployment, documents):
+    with pytest.raises(ValueError):
+        read_gold(spark, deployment, "avg_temperature_daily")
+    sinks.land_documents(documents, deployment.raw, DAY)
+    refresh.run(spark, deployment)
+    assert last_refresh(spark, deployment) == (0, 0)
+    before = rows(read_gold(spark, deployment, "avg_temperature_daily"))
+    with patch.object(refresh, "daily_tables", side_effect=RuntimeError("lost")):
+        with pytest.raises(RuntimeError):
+            refresh.refresh_gold(spark, deployment)
+    assert last_refresh(spark, deployment) == (0, 0)
+    assert rows(read_gold(spark, deployment, "avg_temperature_daily")) == before
+    assert refresh.refresh_gold(spark, deployment) == 1
+    assert last_refresh(spark, deployment) == (1, 1)
+    assert rows(read_gold(spark, deployment, "avg_temperature_daily")) == before
+    with pytest.raises(ValueError):
+        read_gold(spark, deployment, "no_such_table")
+
+
+def test_a_batch_that_failed_half_way_is_not_counted_twice(spark, deployment, documents):
+    sinks.land_documents(documents, deployment.raw, DAY)
+    with patch.object(sinks, "rollup", side_effect=RuntimeError("lost")):
+        with pytest.raises(Exception):
+            ingest.ingest_available(spark, deployment)
+    assert read_silver(spark, deployment.silver).count() == documents.count()
+    ingest.ingest_available(spark, deployment)
+    assert read_silver(spark, deployment.silver).count() == documents.count()
+    total = read_rollup(spark, deployment).agg(F.sum("group__rows")).first()[0]
+    assert total == documents.count()
+
+
+def test_many_small_batches_equal_one(spark, tmp_path, documents):
+    one, many = Deployment(str(tmp_path / "one")), Deployment(str(tmp_path / "many"))
+    for part in range(3):
+        sinks.land_documents(documents.where(f"event_id % 3 = {part}"), one.raw, DAY)
+    refresh.run(spark, one)
+    refresh.run(spark, many, raw=one.raw, maxFilesPerTrigger="1")
+    assert read_rollup(spark, many).count() > read_rollup(spark, one).count()
+    for name in gold.GOLD_TABLES:
+        assert rows(read_gold(spark, many, name)) == rows(read_gold(spark, one, name))
+
+
+def test_corrupt_lines_are_counted_and_kept(spark, deployment, tmp_path):
+    good = json.dumps(document(temperature=1))
+    folder = tmp_path / "deployment/raw/2025/04/10"
+    write_lines(folder, "f.json", good, good[:40], good, "nonsense")
+    for metrics in (
+        refresh.append_all(spark, deployment),
+        refresh.append_all(spark, deployment, gather_days=False),
+    ):
+        assert metrics == sinks.LoadMetrics(rows_read=4, rows_corrupt=2, rows_written=2)
+    kept = spark.read.parquet(deployment.quarantine).select("_corrupt_record").collect()
+    assert sorted(r[0] for r in kept) == sorted([good[:40], "nonsense"] * 2)
+    assert read_silver(spark, deployment.silver).count() == 4
+
+
+def test_only_corrupt_lines(spark, deployment, tmp_path):
+    write_lines(tmp_path / "deployment/raw/2025/04/10", "f.json", "nonsense")
+    refresh.run(spark, deployment)
+    assert read_silver(spark, deployment.silver).count() == 0
+    assert read_gold(spark, deployment, "avg_temperature_daily").count() == 0
+
+
+def test_rows_without_a_day_are_kept(spark, deployment):
+    docs = documents_frame(spark, document(time="never", temperature=3), document(temperature=4))
+    sinks.land_documents(docs, deployment.raw, DAY)
+    refresh.run(spark, deployment)
+    assert {r.datetime_brasil for r in read_silver(spark, deployment.silver).collect()} == {None, DAY}
+    table = read_gold(spark, deployment, "avg_temperature_daily", ordered=True)
+    assert [(r.date, r.avg_temperature) for r in table.collect()] == [(None, 3.0), (DAY, 4.0)]
+
+
+def test_location_mode_double_all_the_way(spark, deployment, documents):
+    sinks.land_documents(documents, deployment.raw, DAY)
+    refresh.run(spark, deployment, location_mode="double")
+    silver = read_silver(spark, deployment.silver, location_mode="double")
+    assert silver.where("location_name is not null").count() == 0
+    names = read_gold(spark, deployment, "avg_temperature_daily").select("location_name").distinct()
+    assert [r[0] for r in names.collect()] == [None]
+
+
+def test_a_day_filter_prunes_silver_files(spark, deployment, documents):
+    sinks.land_documents(documents, deployment.raw, DAY)
+    refresh.run(spark, deployment)
+    one_day = read_silver(spark, deployment.silver).where("datetime_brasil = date'2024-01-05'")
+    plan = plan_text(one_day.select("temperature"))
+    assert "datetime_brasil" in plan.split("PartitionFilters: ")[1].split("\n")[0]
+    assert "ReadSchema: struct<temperature:double>" in plan
+
+
+def test_views(spark, deployment, documents):
+    sinks.land_documents(documents, deployment.raw, DAY)
+    refresh.run(spark, deployment)
+    register_views(spark, deployment)
+    assert spark.sql("select count(*) from silver_events").first()[0] == documents.count()
+    days = "select date from max_min_temperature_daily order by date desc nulls first limit 1"
+    assert spark.sql(days).first()[0] is not None
+
+
+def test_alert_stream_equals_batch_and_takes_files_once(spark, tmp_path, documents):
+    inbox, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    to_envelopes(documents).write.text(inbox)
+    for _ in range(2):
+        digests = digests_of(stream_envelopes(spark, inbox))
+        write_digests(digests, out, checkpoint).awaitTermination()
+    batch = digests_of(read_envelopes(spark, inbox))
+    assert batch.count() > 0
+    assert rows(spark.read.parquet(out)) == rows(batch)
+
+
+def test_published_digests(spark, tmp_path, documents):
+    inbox = str(tmp_path / "in")
+    to_envelopes(documents).write.text(inbox)
+    sent = []
+    stream = digests_of(stream_envelopes(spark, inbox))
+    query = publish_digests(stream, lambda batch, n: sent.append(batch.count()), str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert sum(sent) == digests_of(read_envelopes(spark, inbox)).count()
+
+
+def test_relational_sinks_pass_their_options(spark, documents):
+    frame = spark.range(1)
+    with patch.object(DataFrameWriter, "jdbc") as jdbc:
+        sinks.replace_jdbc(frame, "jdbc:x", "gold.t", {"user": "u"})
+    jdbc.assert_called_once_with("jdbc:x", "gold.t", mode="overwrite", properties={"user": "u"})
+    from skyledger.operators.silver import to_silver
+
+    silver = to_silver(documents)
+    with patch.object(DataFrameWriter, "jdbc") as jdbc:
+        sinks.append_jdbc(silver, "jdbc:x", "silver.t", {"user": "u"})
+    jdbc.assert_called_once_with("jdbc:x", "silver.t", mode="append", properties={"user": "u"})
+    with patch.object(DataFrameReader, "jdbc", return_value=silver) as jdbc:
+        read_silver_jdbc(spark, "jdbc:x", "silver.t", {}, predicates=["a", "b"])
+    jdbc.assert_called_once_with("jdbc:x", "silver.t", properties={}, predicates=["a", "b"])
+
+
+def test_scratch_folder_is_shared(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    folders = [scratch_folder(spark, "x") for _ in range(2)]
+    assert all(f.startswith(f"{shared.rstrip('/')}/skyledger-x-") for f in folders)
+    assert folders[0] != folders[1]
