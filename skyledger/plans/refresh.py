@@ -12,15 +12,16 @@ from skyledger.operators.gold import (
     DAILY_WIDE,
     daily_tables,
     daily_wide_from_rollup,
+    merge_rollups,
     rollup,
     weather_codes_from_rollup,
 )
 from skyledger.operators.silver import to_silver
-from skyledger.plans.storage import Deployment
+from skyledger.plans.storage import MERGED_LOADS, MERGED_ROLLUP, REFRESH_MARK, Deployment
 from skyledger.sinks.tables import LoadMetrics, write_load
 from skyledger.sources.raw import RAW_GLOB, read_raw
 from skyledger.sources.schema import CORRUPT
-from skyledger.sources.tables import last_refresh, read_rollup
+from skyledger.sources.tables import last_refresh
 from skyledger.streaming.ingest import ingest_available
 
 
@@ -31,13 +32,17 @@ def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
     return {**tables, "weather_condition_summary": weather_codes_from_rollup(states)}
 
 
-def refresh_gold(spark: SparkSession, deployment: Deployment) -> int:
-    """Rebuild every gold table from the rollup into the idle slot, then make that slot current.
+def refresh_gold(spark: SparkSession, deployment: Deployment, from_all_loads: bool = False) -> int:
+    """Rebuild every gold table into the idle slot, then make that slot current.
 
-    The rollup is merged once into the wide daily table; the six daily tables are projections of
-    its files. One appended line switches all tables at once. A refresh that dies half-way leaves
-    the current slot alone. There must be one refresh at a time; a reader has until the end of the
-    next refresh to finish with the slot it opened.
+    The slot also keeps the merged rollup and the loads in it, so the next refresh reads that rollup
+    and the loads since; ``from_all_loads`` starts over from the rollups of all loads. From the
+    merged rollup come the wide daily table and the weather codes, and the six daily tables are
+    projections of the wide one.
+
+    Writing the slot's mark comes last and switches all tables at once; a refresh that dies half-way
+    leaves the current slot alone. There must be one refresh at a time; a reader has until the end
+    of the next refresh to finish with the slot it opened.
     """
     newest = last_refresh(spark, deployment)
     number, slot = (0, 0) if newest is None else (newest[0] + 1, 1 - newest[1])
@@ -50,24 +55,44 @@ def refresh_gold(spark: SparkSession, deployment: Deployment) -> int:
         with ThreadPoolExecutor(len(tables)) as pool:
             list(pool.map(inheritable_thread_target(spark)(write), tables))
 
-    states = read_rollup(spark, deployment)
+    def stored(name: str) -> DataFrame:
+        return spark.read.parquet(deployment.gold(slot, name))
+
+    # One frame, hence one file listing, decides which loads are new and supplies their rows.
+    loads = spark.read.parquet(deployment.rollup)
+    base, known = None, []
+    if newest is not None and not from_all_loads:
+        base = spark.read.parquet(deployment.gold(newest[1], MERGED_ROLLUP))
+        known = _load_ids(spark.read.parquet(deployment.gold(newest[1], MERGED_LOADS)))
+    fresh = _load_ids(loads.where(~F.col("load").isin(known)))
+    states = loads.where(F.col("load").isin(fresh)).drop("load")
+    if base is not None:
+        states = base.unionByName(states)
+    ids = spark.createDataFrame([(load,) for load in known + fresh], "load string")
+    replace({MERGED_ROLLUP: merge_rollups(states), MERGED_LOADS: ids.coalesce(1)})
+    merged = stored(MERGED_ROLLUP)
     replace(
         {
-            DAILY_WIDE: daily_wide_from_rollup(states),
-            "weather_condition_summary": weather_codes_from_rollup(states),
+            DAILY_WIDE: daily_wide_from_rollup(merged),
+            "weather_condition_summary": weather_codes_from_rollup(merged),
         }
     )
-    replace(daily_tables(spark.read.parquet(deployment.gold(slot, DAILY_WIDE))))
+    replace(daily_tables(stored(DAILY_WIDE)))
 
-    done = spark.range(1).select(
+    mark = spark.range(1).select(
         F.lit(number).cast("bigint").alias("refresh"),
         F.lit(slot).alias("slot"),
         F.current_timestamp().alias("refreshed_at"),
     )
-    done.coalesce(1).write.mode("append").json(deployment.refreshes)
+    mark.coalesce(1).write.mode("overwrite").json(deployment.gold(slot, REFRESH_MARK))
     return number
 
 
+def _load_ids(rows: DataFrame) -> list[str]:
+    """One short id per load: fewer than the files of that table, which the driver lists anyway."""
+    return [row["load"] for row in rows.select("load").distinct().collect()]
+
+
 def append_all(
     spark: SparkSession,
     deployment: Deployment,

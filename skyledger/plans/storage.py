@@ -6,12 +6,14 @@ A deployment is one folder on shared storage::
     silver/load=<id>/datetime_brasil=<day>/
     rollup/load=<id>/      mergeable gold states of that load
     quarantine/load=<id>/  lines that could not be read
-    gold/slot=<0|1>/<table>/
-    refreshes/             one line per finished gold refresh: which slot is current
+    gold/slot=<0|1>/<table>/, merged_rollup/, merged_loads/, refresh/
     checkpoints/
 
 Everything a load writes lies under its own ``load`` folder and is overwritten as a whole, so a load
-that is repeated after a failure leaves no duplicate.
+that is repeated after a failure leaves no duplicate. Load ids of the stream count the batches of its
+checkpoint: the checkpoint belongs to the deployment and must not be thrown away on its own.
+
+Of the two gold slots the one with the higher number in its ``refresh`` mark is current.
 """
 
 from __future__ import annotations
@@ -23,6 +25,11 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 
+MERGED_ROLLUP = "merged_rollup"
+MERGED_LOADS = "merged_loads"
+REFRESH_MARK = "refresh"
+
+
 @dataclass(frozen=True)
 class Deployment:
     root: str
@@ -47,8 +54,8 @@ class Deployment:
         return self._at("quarantine")
 
     @property
-    def refreshes(self) -> str:
-        return self._at("refreshes")
+    def refresh_marks(self) -> str:
+        return self._at(f"gold/slot=*/{REFRESH_MARK}")
 
     def gold(self, slot: int, table: str) -> str:
         return self._at(f"gold/slot={slot}/{table}")

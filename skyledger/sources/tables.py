@@ -41,7 +41,7 @@ def read_rollup(spark: SparkSession, deployment: Deployment) -> DataFrame:
 def last_refresh(spark: SparkSession, deployment: Deployment) -> tuple[int, int] | None:
     """Number and slot of the last finished gold refresh."""
     try:
-        finished = spark.read.schema(_REFRESH_SCHEMA).json(deployment.refreshes)
+        finished = spark.read.schema(_REFRESH_SCHEMA).json(deployment.refresh_marks)
         newest = finished.agg(F.max(F.struct("refresh", "slot")).alias("newest")).first()["newest"]
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
