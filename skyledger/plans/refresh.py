@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.operators.gold import (
     DAILY_WIDE,
@@ -22,7 +23,7 @@ from skyledger.sinks.tables import LoadMetrics, write_load
 from skyledger.sources.raw import RAW_GLOB, read_raw
 from skyledger.sources.schema import CORRUPT
 from skyledger.sources.tables import last_refresh
-from skyledger.streaming.ingest import ingest_available
+from skyledger.streaming.ingest import ingest_available, start_ingest
 
 
 def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
@@ -102,7 +103,10 @@ def append_all(
     location_mode: str = "string",
     gather_days: bool = True,
 ) -> LoadMetrics:
-    """Read the whole raw zone and append it to silver, also what earlier runs already appended."""
+    """Read the whole raw zone and append it to silver, also what earlier runs already appended.
+
+    Every call is a new load; calling it again after a failure appends again.
+    """
     documents = read_raw(spark, raw or deployment.raw, glob, recursive)
     silver = to_silver(documents, location_mode, keep=[CORRUPT])
     return write_load(silver, deployment, f"run-{uuid.uuid4().hex}", gather_days)
@@ -127,3 +131,24 @@ def run(
     else:
         raise ValueError(f"mode must be 'incremental' or 'append_full', not {mode!r}")
     return refresh_gold(spark, deployment)
+
+
+def run_every(
+    spark: SparkSession,
+    deployment: Deployment,
+    every: str = "1 hour",
+    raw: str | None = None,
+    **reading: object,
+) -> StreamingQuery:
+    """Periodic runs in one stream: new raw files to silver, then a gold refresh, never two at once.
+
+    A period without new files does nothing.
+    """
+    return start_ingest(
+        spark,
+        deployment,
+        raw,
+        every=every,
+        after_load=lambda: refresh_gold(spark, deployment),
+        **reading,
+    )

@@ -3,9 +3,8 @@
 A deployment is one folder on shared storage::
 
     raw/YYYY/MM/DD/        landed documents, one JSON object per line
-    silver/load=<id>/datetime_brasil=<day>/
+    silver/load=<id>/status=<ok|corrupt>/datetime_brasil=<day>/
     rollup/load=<id>/      mergeable gold states of that load
-    quarantine/load=<id>/  lines that could not be read
     gold/slot=<0|1>/<table>/, merged_rollup/, merged_loads/, refresh/
     checkpoints/
 
@@ -49,10 +48,6 @@ class Deployment:
     def rollup(self) -> str:
         return self._at("rollup")
 
-    @property
-    def quarantine(self) -> str:
-        return self._at("quarantine")
-
     @property
     def refresh_marks(self) -> str:
         return self._at(f"gold/slot=*/{REFRESH_MARK}")

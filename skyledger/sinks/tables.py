@@ -10,8 +10,16 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from skyledger.operators.gold import rollup
 from skyledger.plans.storage import Deployment, load_folder
 from skyledger.sources.raw import to_lines
-from skyledger.sources.schema import CORRUPT, LOCAL_DAY, SILVER_COLUMNS, TEXT_LINE
-from skyledger.sources.tables import read_silver
+from skyledger.sources.schema import (
+    CORRUPT,
+    LOCAL_DAY,
+    SILVER_COLUMNS,
+    STATUS,
+    STATUS_CORRUPT,
+    STATUS_OK,
+    TEXT_LINE,
+)
+from skyledger.sources.tables import read_quarantine, read_silver
 
 
 @dataclass(frozen=True)
@@ -49,28 +57,28 @@ def write_load(
 ) -> LoadMetrics:
     """Write one load of silver rows (with ``_corrupt_record`` kept), then its rollup.
 
-    The counts come along with the write. The quarantine costs a second pass, and only when there
-    is something to put there. The rollup reads the columns it needs from the files just written.
-    With ``gather_days=False`` nothing is shuffled; fit for input that arrives by day.
+    One pass over the input: lines that could not be read go to a partition of their own in the same
+    write, and the counts come along with it. The rollup reads the columns it needs from the files
+    just written. With ``gather_days=False`` nothing is shuffled; fit for input that arrives by day.
     """
-    counts = (
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count(F.col(CORRUPT)).alias("rows_corrupt"),
-    )
+    spoilt = F.col(CORRUPT).isNotNull()
     seen = Observation()
-    good = silver.observe(seen, *counts).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    rows = silver.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(spoilt).alias("rows_corrupt"),
+    ).withColumn(STATUS, F.when(spoilt, STATUS_CORRUPT).otherwise(STATUS_OK))
     target = load_folder(deployment.silver, load_id)
-    arranged = _by_day(good) if gather_days else good
-    arranged.write.mode("overwrite").partitionBy(LOCAL_DAY).parquet(target)
-    written = read_silver(silver.sparkSession, target, schema=good.schema)
-
-    # Adaptive execution drops the observation along with an empty shuffle.
-    counted = silver.agg(*counts).first().asDict() if written.isEmpty() else seen.get
-    if counted["rows_corrupt"]:
-        spoilt = silver.where(F.col(CORRUPT).isNotNull())
-        spoilt.write.mode("overwrite").parquet(load_folder(deployment.quarantine, load_id))
+    arranged = _by_day(rows) if gather_days else rows
+    arranged.write.mode("overwrite").partitionBy(STATUS, LOCAL_DAY).parquet(target)
+
+    spark, stored = silver.sparkSession, silver.drop(CORRUPT).schema
+    written = read_silver(spark, target, schema=stored)
     rollup(written).write.mode("overwrite").parquet(load_folder(deployment.rollup, load_id))
-    read, corrupt = counted["rows_read"], counted["rows_corrupt"]
+    # Without any row adaptive execution drops the observation along with the empty shuffle.
+    if written.isEmpty() and read_quarantine(spark, target, schema=stored).isEmpty():
+        return LoadMetrics(0, 0, 0)
+    read, corrupt = seen.get["rows_read"], seen.get["rows_corrupt"]
     return LoadMetrics(read, corrupt, read - corrupt)
 
 

@@ -57,6 +57,11 @@ ENVELOPE_SCHEMA = T.StructType().add(
     T.ArrayType(T.StructType().add("kinesis", T.StructType().add("data", T.StringType()))),
 )
 
+# Partition column of the silver files: lines that could not be read lie beside the others.
+STATUS = "status"
+STATUS_OK = "ok"
+STATUS_CORRUPT = "corrupt"
+
 LOCATION_KEY = ("location_name", "latitude", "longitude")
 LOCAL_DAY = "datetime_brasil"
 INGESTION_COLUMNS = ("ingestion_at", "ingestion_at_timestamp")

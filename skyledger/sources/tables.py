@@ -7,11 +7,28 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from skyledger.operators.gold import DAILY_WIDE, GOLD_TABLES, order_for_reading
 from skyledger.plans.storage import Deployment
-from skyledger.sources.schema import SILVER_COLUMNS, silver_schema
+from skyledger.sources.schema import (
+    CORRUPT,
+    INGESTION_COLUMNS,
+    SILVER_COLUMNS,
+    STATUS,
+    STATUS_CORRUPT,
+    STATUS_OK,
+    silver_schema,
+)
 
 _REFRESH_SCHEMA = "refresh bigint, slot int, refreshed_at timestamp"
 
 
+def _silver_files(
+    spark: SparkSession, path: str, location_mode: str, schema: T.StructType | None
+) -> DataFrame:
+    columns = (schema or silver_schema(location_mode)).fields
+    partition = T.StructField(STATUS, T.StringType())
+    corrupt = T.StructField(CORRUPT, T.StringType())
+    return spark.read.schema(T.StructType([*columns, corrupt, partition])).parquet(path)
+
+
 def read_silver(
     spark: SparkSession,
     path: str,
@@ -19,8 +36,19 @@ def read_silver(
     schema: T.StructType | None = None,
 ) -> DataFrame:
     """The 28 silver columns of all loads below ``path``; filters on the local day prune files."""
-    files = spark.read.schema(schema or silver_schema(location_mode)).parquet(path)
-    return files.select(*SILVER_COLUMNS)
+    files = _silver_files(spark, path, location_mode, schema)
+    return files.where(F.col(STATUS) == STATUS_OK).select(*SILVER_COLUMNS)
+
+
+def read_quarantine(
+    spark: SparkSession,
+    path: str,
+    location_mode: str = "string",
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """Lines of all loads below ``path`` that could not be read, and when they came in."""
+    files = _silver_files(spark, path, location_mode, schema)
+    return files.where(F.col(STATUS) == STATUS_CORRUPT).select(CORRUPT, *INGESTION_COLUMNS)
 
 
 def read_silver_jdbc(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,17 +23,20 @@ def start_ingest(
     location_mode: str = "string",
     gather_days: bool = True,
     every: str | None = None,
+    after_load: Callable[[], object] | None = None,
     **options: str,
 ) -> StreamingQuery:
     """Start the stream; ``every`` (such as ``1 hour``) keeps it running, else it ends when it
     has taken all files there are.
 
     A batch goes to a load folder named after its number in the checkpoint, and a batch repeated
-    after a failure overwrites that folder.
+    after a failure overwrites that folder. ``after_load`` is part of the batch.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         write_load(batch, deployment, f"stream-{number:09d}", gather_days)
+        if after_load:
+            after_load()
 
     documents = stream_raw(spark, raw or deployment.raw, glob, recursive, **options)
     writer = (

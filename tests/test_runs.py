@@ -21,6 +21,7 @@ from skyledger.sources.sample_documents import events_table, weather_documents
 from skyledger.sources.tables import (
     last_refresh,
     read_gold,
+    read_quarantine,
     read_rollup,
     read_silver,
     read_silver_jdbc,
@@ -157,6 +158,31 @@ def test_many_small_batches_equal_one(spark, tmp_path, documents):
         assert rows(read_gold(spark, many, name)) == rows(read_gold(spark, one, name))
 
 
+def test_periodic_runs(spark, deployment, documents):
+    sinks.land_documents(documents.where("event_id % 2 = 0"), deployment.raw, DAY)
+    query = refresh.run_every(spark, deployment, every="1 second")
+    try:
+        query.processAllAvailable()
+        assert last_refresh(spark, deployment) == (0, 0)
+        sinks.land_documents(documents.where("event_id % 2 = 1"), deployment.raw, DAY)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert last_refresh(spark, deployment) == (1, 1)
+    table = read_gold(spark, deployment, "weather_condition_summary")
+    assert table.agg(F.sum("weather_code_count")).first()[0] == documents.count()
+
+
+def test_catalog_tables_are_replaced(spark, tmp_path):
+    spark.sql(f"create database if not exists reports location '{tmp_path}/reports'")
+    try:
+        for n in (3, 2):
+            sinks.replace_catalog_table(spark.range(n), "reports.counts")
+            assert spark.table("reports.counts").count() == n
+    finally:
+        spark.sql("drop database reports cascade")
+
+
 def test_corrupt_lines_are_counted_and_kept(spark, deployment, tmp_path):
     good = json.dumps(document(temperature=1))
     folder = tmp_path / "deployment/raw/2025/04/10"
@@ -166,7 +192,8 @@ def test_corrupt_lines_are_counted_and_kept(spark, deployment, tmp_path):
         refresh.append_all(spark, deployment, gather_days=False),
     ):
         assert metrics == sinks.LoadMetrics(rows_read=4, rows_corrupt=2, rows_written=2)
-    kept = spark.read.parquet(deployment.quarantine).select("_corrupt_record").collect()
+    kept = read_quarantine(spark, deployment.silver).collect()
+    assert all(r.ingestion_at is not None for r in kept)
     assert sorted(r[0] for r in kept) == sorted([good[:40], "nonsense"] * 2)
     assert read_silver(spark, deployment.silver).count() == 4
 
@@ -178,6 +205,15 @@ def test_only_corrupt_lines(spark, deployment, tmp_path):
     assert read_gold(spark, deployment, "avg_temperature_daily").count() == 0
 
 
+@pytest.mark.parametrize("gather_days", [True, False])
+def test_a_load_without_any_row(spark, deployment, tmp_path, gather_days):
+    write_lines(tmp_path / "deployment/raw/2025/04/10", "f.json", "", "")
+    metrics = refresh.append_all(spark, deployment, gather_days=gather_days)
+    assert metrics == sinks.LoadMetrics(0, 0, 0)
+    refresh.refresh_gold(spark, deployment)
+    assert read_gold(spark, deployment, "avg_temperature_daily").count() == 0
+
+
 def test_rows_without_a_day_are_kept(spark, deployment):
     docs = documents_frame(spark, document(time="never", temperature=3), document(temperature=4))
     sinks.land_documents(docs, deployment.raw, DAY)
