@@ -17,6 +17,9 @@ from pyspark.sql import Column, functions as F
 from skyledger.functions.rounding import mean_2, round_2, whole_units
 
 
+GROUP_ROWS = "group__rows"
+
+
 @dataclass(frozen=True)
 class Mean:
     column: str
@@ -110,13 +113,13 @@ class CountRows:
         return {}
 
     def states(self) -> dict[str, Column]:
-        return {"group__rows": F.count(F.lit(1))}
+        return {GROUP_ROWS: F.count(F.lit(1))}
 
     def merge(self) -> dict[str, Column]:
-        return {"group__rows": F.sum("group__rows")}
+        return {GROUP_ROWS: F.sum(GROUP_ROWS)}
 
     def result(self) -> Column:
-        return F.col("group__rows")
+        return F.col(GROUP_ROWS)
 
 
 Measure = Mean | Maximum | Minimum | CountPositive | CountRows

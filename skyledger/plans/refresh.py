@@ -26,6 +26,9 @@ from skyledger.sources.tables import last_refresh
 from skyledger.streaming.ingest import ingest_available, start_ingest
 
 
+_LOADS = "load string"
+
+
 def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
     """All seven gold tables of a silver frame, lazily, over one rollup."""
     states = rollup(silver)
@@ -48,37 +51,37 @@ def refresh_gold(spark: SparkSession, deployment: Deployment, from_all_loads: bo
     newest = last_refresh(spark, deployment)
     number, slot = (0, 0) if newest is None else (newest[0] + 1, 1 - newest[1])
 
-    def replace(tables: dict[str, DataFrame]) -> None:
-        def write(name: str) -> None:
-            tables[name].write.mode("overwrite").parquet(deployment.gold(slot, name))
+    def replace(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        def write(name: str) -> DataFrame:
+            folder = deployment.gold(slot, name)
+            tables[name].write.mode("overwrite").parquet(folder)
+            return spark.read.schema(tables[name].schema).parquet(folder)
 
         # Independent small jobs: none of them fills a cluster, so they share it.
         with ThreadPoolExecutor(len(tables)) as pool:
-            list(pool.map(inheritable_thread_target(spark)(write), tables))
-
-    def stored(name: str) -> DataFrame:
-        return spark.read.parquet(deployment.gold(slot, name))
+            written = pool.map(inheritable_thread_target(spark)(write), tables)
+            return dict(zip(tables, written))
 
     # One frame, hence one file listing, decides which loads are new and supplies their rows.
     loads = spark.read.parquet(deployment.rollup)
     base, known = None, []
     if newest is not None and not from_all_loads:
         base = spark.read.parquet(deployment.gold(newest[1], MERGED_ROLLUP))
-        known = _load_ids(spark.read.parquet(deployment.gold(newest[1], MERGED_LOADS)))
+        ids_so_far = spark.read.schema(_LOADS).parquet(deployment.gold(newest[1], MERGED_LOADS))
+        known = _load_ids(ids_so_far)
     fresh = _load_ids(loads.where(~F.col("load").isin(known)))
     states = loads.where(F.col("load").isin(fresh)).drop("load")
     if base is not None:
         states = base.unionByName(states)
-    ids = spark.createDataFrame([(load,) for load in known + fresh], "load string")
-    replace({MERGED_ROLLUP: merge_rollups(states), MERGED_LOADS: ids.coalesce(1)})
-    merged = stored(MERGED_ROLLUP)
-    replace(
+    ids = spark.createDataFrame([(load,) for load in known + fresh], _LOADS)
+    merged = replace({MERGED_ROLLUP: merge_rollups(states), MERGED_LOADS: ids.coalesce(1)})
+    tables = replace(
         {
-            DAILY_WIDE: daily_wide_from_rollup(merged),
-            "weather_condition_summary": weather_codes_from_rollup(merged),
+            DAILY_WIDE: daily_wide_from_rollup(merged[MERGED_ROLLUP]),
+            "weather_condition_summary": weather_codes_from_rollup(merged[MERGED_ROLLUP]),
         }
     )
-    replace(daily_tables(stored(DAILY_WIDE)))
+    replace(daily_tables(tables[DAILY_WIDE]))
 
     mark = spark.range(1).select(
         F.lit(number).cast("bigint").alias("refresh"),

@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from skyledger.operators.gold import rollup
+from skyledger.operators.measures import GROUP_ROWS
 from skyledger.plans.storage import Deployment, load_folder
+from skyledger.sources.envelope import to_envelopes
 from skyledger.sources.raw import to_lines
 from skyledger.sources.schema import (
     CORRUPT,
@@ -42,6 +44,21 @@ def land_documents(documents: DataFrame, raw: str, day: date) -> None:
     land_lines(to_lines(documents), raw, day)
 
 
+def send_documents(
+    documents: DataFrame, path: str | None = None, format: str = "text", **options: str
+) -> None:
+    """Append documents to a stream, one envelope each.
+
+    Text files take the envelope alone. Any other format also gets a ``key``, the location, so that
+    the stream spreads over its partitions.
+    """
+    envelopes = to_envelopes(documents, keep=["location"])
+    columns = [TEXT_LINE]
+    if format != "text":
+        columns = [F.col("location.name").cast("string").alias("key"), *columns]
+    envelopes.select(*columns).write.format(format).options(**options).mode("append").save(path)
+
+
 def _by_day(silver: DataFrame) -> DataFrame:
     """Gather the rows of a day for fewer, larger files.
 
@@ -58,28 +75,34 @@ def write_load(
     """Write one load of silver rows (with ``_corrupt_record`` kept), then its rollup.
 
     One pass over the input: lines that could not be read go to a partition of their own in the same
-    write, and the counts come along with it. The rollup reads the columns it needs from the files
-    just written. With ``gather_days=False`` nothing is shuffled; fit for input that arrives by day.
+    write. The rollup reads the columns it needs from the files just written, and the counts come
+    from the rollup and that partition: unlike counters that ride along with the write, they stay
+    right when a lost executor makes Spark repeat tasks. With ``gather_days=False`` nothing is
+    shuffled; fit for input that arrives by day.
     """
-    spoilt = F.col(CORRUPT).isNotNull()
-    seen = Observation()
-    rows = silver.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(spoilt).alias("rows_corrupt"),
-    ).withColumn(STATUS, F.when(spoilt, STATUS_CORRUPT).otherwise(STATUS_OK))
+    status = F.when(F.col(CORRUPT).isNotNull(), STATUS_CORRUPT).otherwise(STATUS_OK)
+    rows = silver.withColumn(STATUS, status)
     target = load_folder(deployment.silver, load_id)
     arranged = _by_day(rows) if gather_days else rows
     arranged.write.mode("overwrite").partitionBy(STATUS, LOCAL_DAY).parquet(target)
 
     spark, stored = silver.sparkSession, silver.drop(CORRUPT).schema
-    written = read_silver(spark, target, schema=stored)
-    rollup(written).write.mode("overwrite").parquet(load_folder(deployment.rollup, load_id))
-    # Without any row adaptive execution drops the observation along with the empty shuffle.
-    if written.isEmpty() and read_quarantine(spark, target, schema=stored).isEmpty():
-        return LoadMetrics(0, 0, 0)
-    read, corrupt = seen.get["rows_read"], seen.get["rows_corrupt"]
-    return LoadMetrics(read, corrupt, read - corrupt)
+    states = rollup(read_silver(spark, target, schema=stored))
+    states_folder = load_folder(deployment.rollup, load_id)
+    states.write.mode("overwrite").parquet(states_folder)
+
+    written = F.coalesce(F.sum(GROUP_ROWS), F.lit(0)).alias("rows")
+    written = spark.read.schema(states.schema).parquet(states_folder).agg(written)
+    corrupt = read_quarantine(spark, target, schema=stored).agg(F.count(F.lit(1)).alias("rows"))
+    counts = written.select(F.lit(STATUS_OK).alias(STATUS), "rows").unionByName(
+        corrupt.select(F.lit(STATUS_CORRUPT).alias(STATUS), "rows")
+    )
+    by_status = {row[STATUS]: row["rows"] for row in counts.collect()}
+    return LoadMetrics(
+        rows_read=sum(by_status.values()),
+        rows_corrupt=by_status[STATUS_CORRUPT],
+        rows_written=by_status[STATUS_OK],
+    )
 
 
 def append_jdbc(silver: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 16) -> None:

@@ -52,6 +52,7 @@ DOCUMENT_SCHEMA = (
 )
 RAW_SCHEMA = T.StructType([*DOCUMENT_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
 
+# The keys of the envelope.
 ENVELOPE_SCHEMA = T.StructType().add(
     "Records",
     T.ArrayType(T.StructType().add("kinesis", T.StructType().add("data", T.StringType()))),

@@ -5,7 +5,7 @@ from pathlib import Path
 
 from skyledger.sources.raw import parse_documents
 
-PLACE = {"lat": -7.0, "lon": -37.0, "name": "Patos, Micro, Paraiba, Nordeste, Brasil"}
+PLACE = {"lat": -8.05, "lon": -34.9, "name": "Recife, Micro, Pernambuco, Nordeste, Brasil"}
 
 
 def document(time="2025-04-10T12:00:00Z", location=None, **values) -> dict:

@@ -252,7 +252,7 @@ def test_views(spark, deployment, documents):
 
 def test_alert_stream_equals_batch_and_takes_files_once(spark, tmp_path, documents):
     inbox, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
-    to_envelopes(documents).write.text(inbox)
+    sinks.send_documents(documents, inbox)
     for _ in range(2):
         digests = digests_of(stream_envelopes(spark, inbox))
         write_digests(digests, out, checkpoint).awaitTermination()
@@ -261,6 +261,14 @@ def test_alert_stream_equals_batch_and_takes_files_once(spark, tmp_path, documen
     assert rows(spark.read.parquet(out)) == rows(batch)
 
 
+def test_other_stream_formats_get_a_key(spark, tmp_path, documents):
+    sinks.send_documents(documents, str(tmp_path / "sent"), format="json")
+    sent = spark.read.json(str(tmp_path / "sent"))
+    assert sent.columns == ["key", "value"]
+    keys = documents.select("location.name").distinct().count()
+    assert sent.select("key").distinct().count() == keys
+
+
 def test_published_digests(spark, tmp_path, documents):
     inbox = str(tmp_path / "in")
     to_envelopes(documents).write.text(inbox)
