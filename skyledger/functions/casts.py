@@ -21,7 +21,10 @@ def as_int(value: Column, is_text: bool = True) -> Column:
 def local_day(utc_text: Column, zone: str = LOCAL_ZONE) -> Column:
     """Calendar day in ``zone`` of an ISO-8601 text; the session time zone has no influence.
 
-    Text without an offset is read in the session time zone. Malformed text gives NULL.
+    Text without an offset is read in the session time zone. Malformed text gives NULL. The shifted
+    time is counted in whole days rather than cast to a date, since the cast would shift it again by
+    the session time zone.
     """
-    session_wall_time = F.try_to_timestamp(utc_text).cast("timestamp_ntz")
-    return F.convert_timezone(F.current_timezone(), F.lit(zone), session_wall_time).cast("date")
+    shifted = F.from_utc_timestamp(F.try_to_timestamp(utc_text), zone)
+    days = F.floor(F.unix_seconds(shifted) / F.lit(86400))
+    return F.date_from_unix_date(days.cast("int"))

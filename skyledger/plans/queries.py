@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -32,7 +33,7 @@ from skyledger.sources.schema import (
     TEXT_LINE,
     snake_case,
 )
-from skyledger.sources.tables import read_gold, read_silver
+from skyledger.sources.tables import read_all_gold, read_gold, read_silver
 from skyledger.streaming.alerts import digests_of, write_digests
 from skyledger.streaming.ingest import ingest_available
 
@@ -197,13 +198,8 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append, refresh all gold tables, and stack what the current slot holds."""
     deployment = _landed(spark, sf_dir, "gold")
     refresh.run(spark, deployment, mode="append_full")
-    stacked = [
-        gold.in_long_form(name, read_gold(spark, deployment, name)) for name in gold.GOLD_TABLES
-    ]
-    result = stacked[0]
-    for table in stacked[1:]:
-        result = result.unionByName(table)
-    return result
+    tables = read_all_gold(spark, deployment).items()
+    return reduce(DataFrame.unionByName, (gold.in_long_form(*table) for table in tables))
 
 
 def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,10 @@ _LOADS = "load string"
 
 
 def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
-    """All seven gold tables of a silver frame, lazily, over one rollup."""
+    """All seven gold tables of a silver frame over one rollup, lazily.
+
+    Each table read alone computes that rollup again; ``refresh_gold`` stores it.
+    """
     states = rollup(silver)
     tables = daily_tables(daily_wide_from_rollup(states))
     return {**tables, "weather_condition_summary": weather_codes_from_rollup(states)}

@@ -78,21 +78,34 @@ def last_refresh(spark: SparkSession, deployment: Deployment) -> tuple[int, int]
     return None if newest is None else (newest["refresh"], newest["slot"])
 
 
+def _current_slot(spark: SparkSession, deployment: Deployment) -> int:
+    newest = last_refresh(spark, deployment)
+    if newest is None:
+        raise ValueError(f"no finished gold refresh in {deployment.root}")
+    return newest[1]
+
+
 def read_gold(
     spark: SparkSession, deployment: Deployment, name: str, ordered: bool = False
 ) -> DataFrame:
     """A gold table, or ``daily_wide``, as of the last finished refresh."""
     if name not in GOLD_TABLES and name != DAILY_WIDE:
         raise ValueError(f"no such gold table: {name}")
-    newest = last_refresh(spark, deployment)
-    if newest is None:
-        raise ValueError(f"no finished gold refresh in {deployment.root}")
-    table = spark.read.parquet(deployment.gold(newest[1], name))
+    table = spark.read.parquet(deployment.gold(_current_slot(spark, deployment), name))
     return order_for_reading(table, name) if ordered else table
 
 
-def register_views(spark: SparkSession, deployment: Deployment) -> None:
+def read_all_gold(spark: SparkSession, deployment: Deployment) -> dict[str, DataFrame]:
+    """The seven gold tables, all of the same refresh."""
+    slot = _current_slot(spark, deployment)
+    return {name: spark.read.parquet(deployment.gold(slot, name)) for name in GOLD_TABLES}
+
+
+def register_views(
+    spark: SparkSession, deployment: Deployment, location_mode: str = "string"
+) -> None:
     """Temporary views ``silver_events`` and one per gold table, for SQL and reports."""
-    read_silver(spark, deployment.silver).createOrReplaceTempView("silver_events")
-    for name in GOLD_TABLES:
-        read_gold(spark, deployment, name).createOrReplaceTempView(name)
+    silver = read_silver(spark, deployment.silver, location_mode)
+    silver.createOrReplaceTempView("silver_events")
+    for name, table in read_all_gold(spark, deployment).items():
+        table.createOrReplaceTempView(name)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrameWriter, functions as F
 from pyspark.sql.readwriter import DataFrameReader
 
 from skyledger.operators import gold
+from skyledger.operators.alerts import alert_inputs, alert_summary
+from skyledger.operators.silver import flatten, to_silver
 from skyledger.plans import refresh
 from skyledger.plans.storage import Deployment, load_folder, scratch_folder
 from skyledger.sinks import tables as sinks
@@ -28,7 +30,12 @@ from skyledger.sources.tables import (
     register_views,
 )
 from skyledger.streaming import ingest
-from skyledger.streaming.alerts import digests_of, publish_digests, write_digests
+from skyledger.streaming.alerts import (
+    digests_of,
+    publish_digests,
+    undecoded_of,
+    write_digests,
+)
 
 from helpers import document, documents_frame, plan_text, write_lines
 
@@ -261,6 +268,23 @@ def test_alert_stream_equals_batch_and_takes_files_once(spark, tmp_path, documen
     assert rows(spark.read.parquet(out)) == rows(batch)
 
 
+def test_alert_stream_reports_silent_events_and_sets_bad_records_aside(spark, tmp_path, documents):
+    inbox = str(tmp_path / "in")
+    sinks.send_documents(documents, inbox)
+    write_lines(tmp_path / "in", "bad.txt", '{"Records": [{"kinesis": {"data": "*"}}]}')
+    stream = stream_envelopes(spark, inbox)
+    query = write_digests(
+        digests_of(stream, observe_as="alerts"), str(tmp_path / "out"), str(tmp_path / "cp")
+    )
+    query.awaitTermination()
+    seen = [p.observedMetrics["alerts"] for p in query.recentProgress if p.observedMetrics]
+    expected = alert_summary(alert_inputs(flatten(documents))).first()
+    assert [tuple(row) for row in seen] == [tuple(expected)]
+    bad = str(tmp_path / "bad")
+    write_digests(undecoded_of(stream), bad, str(tmp_path / "cp-bad")).awaitTermination()
+    assert [r.decode_error for r in spark.read.parquet(bad).collect()] == ["base64"]
+
+
 def test_other_stream_formats_get_a_key(spark, tmp_path, documents):
     sinks.send_documents(documents, str(tmp_path / "sent"), format="json")
     sent = spark.read.json(str(tmp_path / "sent"))
@@ -284,8 +308,6 @@ def test_relational_sinks_pass_their_options(spark, documents):
     with patch.object(DataFrameWriter, "jdbc") as jdbc:
         sinks.replace_jdbc(frame, "jdbc:x", "gold.t", {"user": "u"})
     jdbc.assert_called_once_with("jdbc:x", "gold.t", mode="overwrite", properties={"user": "u"})
-    from skyledger.operators.silver import to_silver
-
     silver = to_silver(documents)
     with patch.object(DataFrameWriter, "jdbc") as jdbc:
         sinks.append_jdbc(silver, "jdbc:x", "silver.t", {"user": "u"})

@@ -73,6 +73,8 @@ def test_local_day_does_not_depend_on_the_session_zone(spark, zone):
         ("2025-04-10T04:30:00Z", date(2025, 4, 10)),
         ("2025-04-09T23:30:00-03:00", date(2025, 4, 9)),
         ("2018-12-10T02:30:00Z", date(2018, 12, 10)),
+        ("1969-12-31T02:00:00Z", date(1969, 12, 30)),
+        ("1900-01-01T12:00:00Z", date(1900, 1, 1)),
         ("not a time", None),
         (None, None),
     ]
