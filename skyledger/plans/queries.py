@@ -11,7 +11,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyledger.operators import alerts, gold
 from skyledger.operators.silver import to_silver, typed_silver
@@ -82,7 +82,7 @@ def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = to_lines(_documents(spark, sf_dir), keep=("event_id",))
     text, event_id = F.col(TEXT_LINE), F.col("event_id")
 
-    def record(data) -> F.Column:
+    def record(data: Column) -> Column:
         return F.struct(F.struct(data.alias("data")).alias("kinesis"))
 
     good = record(envelope.encode_payload(text))
