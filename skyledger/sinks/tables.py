@@ -105,14 +105,26 @@ def write_load(
     )
 
 
-def append_jdbc(silver: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 16) -> None:
+def append_jdbc(
+    silver: DataFrame,
+    url: str,
+    table: str,
+    properties: dict[str, str],
+    connections: int = 16,
+) -> None:
     """Append silver rows to a relational table over at most ``connections`` connections."""
     writer = silver.select(*SILVER_COLUMNS).write.option("numPartitions", connections)
     writer.jdbc(url, table, mode="append", properties=properties)
 
 
-def replace_jdbc(gold: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 16) -> None:
-    """Drop and create a relational gold table."""
+def replace_jdbc(
+    gold: DataFrame,
+    url: str,
+    table: str,
+    properties: dict[str, str],
+    connections: int = 16,
+) -> None:
+    """Drop and create a relational gold table over at most ``connections`` connections."""
     writer = gold.write.option("numPartitions", connections)
     writer.jdbc(url, table, mode="overwrite", properties=properties)
 
