@@ -9,7 +9,9 @@ from collections import Counter
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from oracle_queries import ORACLE_SQL
+from skyledger.plans.queries import QUERIES
 
 DATA = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -34,13 +36,13 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, oracle, name):
-    frame = queries()[name](spark, DATA)
-    result = oracle.execute(oracle_sql()[name])
+    frame = QUERIES[name](spark, DATA)
+    result = oracle.execute(ORACLE_SQL[name])
     names = [column[0] for column in result.description]
     assert sorted(frame.columns) == sorted(names)
     expected = _bag(names, result.fetchall())
