@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe, credentials, fingerprint, language, licenses, packing
+from skyledger.llm import bpe, credentials, fingerprint, language, licenses, packing, substrings
 from skyledger.llm.common import documents
 from skyledger.llm.shipping import shipped
 
@@ -15,6 +15,12 @@ BPE_JSON = "byte_bpe_50k.json"
 BPE_RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir), public_tokenizers.path(BPE_JSON))
     return pieces.select(
@@ -70,6 +76,7 @@ def op10_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: shipped(query)
     for query in (
+        op1_substring_dedup,
         op3_harmonic_packing,
         op4_bpe_replay,
         op6_license_diagonals,
