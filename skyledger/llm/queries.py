@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe, credentials, fingerprint, language, licenses, packing, substrings
+from skyledger.llm import bpe, credentials, fingerprint, language, licenses, packing, substrings, suffixes
 from skyledger.llm.common import documents
 from skyledger.llm.shipping import shipped
 
@@ -56,6 +56,12 @@ def op7_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op9_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     study = fingerprint.edit_study(documents(spark, sf_dir))
     return study.select(
@@ -81,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_bpe_replay,
         op6_license_diagonals,
         op7_kneser_ney_language,
+        op8_suffix_dedup,
         op9_merkle_fingerprint,
         op10_linked_secrets,
     )
