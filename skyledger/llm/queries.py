@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe, credentials, fingerprint, language, licenses, packing, substrings, suffixes
+from skyledger.llm import bpe, credentials, fingerprint, jaccard, language, licenses, packing, substrings, suffixes
 from skyledger.llm.common import documents
 from skyledger.llm.shipping import shipped
 
@@ -40,6 +40,10 @@ def op4_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_adaptive_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(documents(spark, sf_dir), words=4, percent=85)
+
+
 def op6_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digests(licenses.scan(documents(spark, sf_dir)))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_substring_dedup,
         op3_harmonic_packing,
         op4_bpe_replay,
+        op5_adaptive_jaccard,
         op6_license_diagonals,
         op7_kneser_ney_language,
         op8_suffix_dedup,
