@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe, credentials, fingerprint, jaccard, language, licenses, packing, substrings, suffixes
+from skyledger.llm import bpe, credentials, fingerprint, jaccard, language, licenses, packing, substrings, suffixes, vectors
 from skyledger.llm.common import documents
 from skyledger.llm.shipping import shipped
 
@@ -21,6 +21,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_small_world_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir), public_tokenizers.path(BPE_JSON))
     return pieces.select(
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: shipped(query)
     for query in (
         op1_substring_dedup,
+        op2_small_world_links,
         op3_harmonic_packing,
         op4_bpe_replay,
         op5_adaptive_jaccard,
