@@ -24,7 +24,7 @@ from skyledger.llm.common import (
     binary_column,
     mixed,
     shuffle_partitions,
-    texts_of,
+    text_columns,
     total_bytes,
 )
 
@@ -111,23 +111,15 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-class TextBlock:
-    """The documents of a block in the order of their ids (null first), then texts.
+class Texts:
+    """Texts in one buffer: ``data`` holds them all, a line break after each; ``starts`` and
+    ``lengths`` tell where. Words are runs of bytes outside ``separators``."""
 
-    ``data`` holds all texts, a line break after each; ``starts`` and ``lengths`` tell where.
-    """
-
-    def __init__(self, table: pa.Table):
-        ids = table.column("doc_id").to_pylist()
-        texts = binary_column(table, "text")
-        order = sorted(
-            range(len(ids)), key=lambda i: (NO_ID if ids[i] is None else ids[i], texts[i])
-        )
-        self.doc_ids = [ids[i] for i in order]
-        self.ids = np.array([NO_ID if x is None else x for x in self.doc_ids], np.int64)
-        self.texts = [texts[i] for i in order]
-        self.data = np.frombuffer(b"".join(x for t in self.texts for x in (t, b"\n")), np.uint8)
-        self.lengths = np.fromiter(map(len, self.texts), np.int64, len(texts))
+    def __init__(self, texts: list[bytes], separators: np.ndarray = _SPACE):
+        self.texts = texts
+        self.separators = separators
+        self.data = np.frombuffer(b"".join(x for t in texts for x in (t, b"\n")), np.uint8)
+        self.lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.starts = np.cumsum(self.lengths + 1) - self.lengths - 1
 
     def __len__(self) -> int:
@@ -135,12 +127,12 @@ class TextBlock:
 
     @cached_property
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, stop and document of each word; words are runs without ASCII white space."""
-        space = _SPACE[self.data]
-        before = np.concatenate([[True], space[:-1]])
-        after = np.concatenate([space[1:], [True]])
-        starts = np.flatnonzero(~space & before)
-        stops = np.flatnonzero(~space & after) + 1
+        """Start, stop and document of each word."""
+        apart = self.separators[self.data]
+        before = np.concatenate([[True], apart[:-1]])
+        after = np.concatenate([apart[1:], [True]])
+        starts = np.flatnonzero(~apart & before)
+        stops = np.flatnonzero(~apart & after) + 1
         return starts, stops, np.searchsorted(self.starts, starts, "right") - 1
 
     def word_hashes(self, which: int, lower: bool = False) -> np.ndarray:
@@ -148,6 +140,22 @@ class TextBlock:
         return RangeHash(byte_values(data, which), which).of(*self.words[:2])
 
 
+class TextBlock(Texts):
+    """The documents of a block in the order of their ids (null first), then texts."""
+
+    def __init__(self, table: pa.Table):
+        ids = table.column("doc_id").to_pylist()
+        texts = binary_column(table, "text")
+        order = sorted(
+            range(len(ids)), key=lambda i: (NO_ID if ids[i] is None else ids[i], texts[i])
+        )
+        self.doc_ids = [ids[i] for i in order]
+        self.ids = np.array([NO_ID if x is None else x for x in self.doc_ids], np.int64)
+        carried = table.column("carried").to_pylist()
+        self.carried = [carried[i] for i in order]
+        super().__init__([texts[i] for i in order])
+
+
 # --- blocks of a table
 
 
@@ -198,9 +206,11 @@ def _table(rows, schema: str) -> pa.Table:
     return pa.concat_tables(parts) if parts else target.empty_table()
 
 
-def blocks_of(docs: DataFrame, task_bytes: int = TASK_BYTES) -> Blocks:
-    """Deals the documents out. A null text counts as empty."""
-    texts = texts_of(docs)
+def blocks_of(docs: DataFrame, carry: tuple[str, ...] = (), task_bytes: int = TASK_BYTES) -> Blocks:
+    """Deals the documents out. A null text counts as empty. Columns to ``carry`` go along as JSON
+    text."""
+    carried = F.to_json(F.struct(*carry)) if carry else F.lit(None).cast("string")
+    texts = docs.select(*text_columns(), carried.alias("carried"))
     size = total_bytes(texts)
     n_parts = max(shuffle_partitions(docs.sparkSession), -(-size // task_bytes))
     n_blocks = n_parts * BLOCKS_PER_TASK

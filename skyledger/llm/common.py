@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyledger.plans.storage import scratch_folder
 
@@ -20,12 +21,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` long and ``text`` string (null: empty); other columns are left behind."""
-    return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-    )
+def text_columns() -> list[Column]:
+    """``doc_id`` long and ``text`` string (null: empty)."""
+    return [
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    ]
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    """The text columns; others are left behind."""
+    return docs.select(*text_columns())
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -67,6 +73,16 @@ def map_batches(
     return frame.mapInArrow(run, schema)
 
 
+def text_groups(batch: pa.RecordBatch, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices with about ``most_bytes`` of ``text`` each, at least one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(sizes) // most_bytes
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer, so that all bits of a hash depend on all of its input."""
     v = values ^ (values >> np.uint64(30))

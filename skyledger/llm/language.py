@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.common import map_batches, texts_of
+from skyledger.llm.common import map_batches, text_columns
 
 ORDER = 4
 SAMPLE_DOCS = 2000
@@ -336,16 +336,14 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataF
     """``doc_id``, ``lang_pred``, ``score``, ``cross_entropy`` and ``rejected`` of every whole text.
 
     A null text or one without a letter is ``und``, score 0, rejected. Repeated rows are scored
-    each; a null ``doc_id`` stays null. An empty table stays empty. ``keep`` names columns to pass
-    through beside them.
+    each; a null ``doc_id`` stays null. An empty table stays empty. Columns named in ``keep`` are
+    passed through as the struct ``kept``, with the ``text``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    texts = texts_of(docs) if not keep else docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.struct(*keep).alias("kept"),
-    )
-    kept_type = f", kept {texts.schema['kept'].dataType.simpleString()}" if keep else ""
+    passed = [F.struct(*keep).alias("kept")] if keep else []
+    texts = docs.select(*text_columns(), *passed)
+    more = ["text", "kept"] if keep else []
+    more_types = "".join(f", {c} {texts.schema[c].dataType.simpleString()}" for c in more)
 
     def groups(texts: list[str]) -> Iterator[list[str]]:
         start = size = 0
@@ -365,13 +363,11 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataF
             *(pa.array(np.concatenate([p[i] for p in parts])) for i in (1, 2, 3)),
         ]
         names = ["doc_id", "lang_pred", "score", "cross_entropy", "rejected"]
-        if keep:
-            columns.append(batch.column("kept"))
-            names.append("kept")
-        return pa.RecordBatch.from_arrays(columns, names)
+        columns.extend(batch.column(c) for c in more)
+        return pa.RecordBatch.from_arrays(columns, names + more)
 
     schema = (
         "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
-        + kept_type
+        + more_types
     )
     return map_batches(texts, run, schema)

@@ -124,17 +124,20 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2] - edges[::2]
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, as_text: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``: the bytes left.
 
     A byte goes if any string of ``length`` bytes that covers it also starts anywhere else, in the
     same document included. ``kept`` is binary, as a cut may fall inside a character; ``as_text``
     makes it text without the characters that were cut. A null text counts as empty; texts shorter
     than ``length`` stay whole; repeated rows are repeats of each other; an empty table stays empty.
+    Columns to ``carry`` come back as the JSON text ``carried``.
     """
     if length % SYMBOL or length <= ANCHOR:
         raise ValueError(f"length must be a multiple of {SYMBOL} above {ANCHOR}")
-    blocks = blocks_of(docs)
+    blocks = blocks_of(docs, carry)
     sketch = Sketch.for_keys(2 * blocks.total_bytes // (length - ANCHOR + 2))
     n_slices = 2 * blocks.n_parts
 
@@ -263,6 +266,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
             "n_removed": per_document(removed),
             "n_spans": per_document(begins),
             "kept": [t.decode("utf-8", "ignore") for t in texts] if as_text else texts,
+            "carried": block.carried,
         }
 
     sent = blocks.with_answers(
@@ -276,7 +280,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
         settled,
         strip,
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept "
-        + ("string" if as_text else "binary"),
+        + ("string" if as_text else "binary")
+        + ", carried string",
     )
 
 
