@@ -19,7 +19,6 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger.llm.common import (
-    BLOCKS_PER_TASK,
     TASK_BYTES,
     binary_column,
     mixed,
@@ -32,6 +31,13 @@ NO_ID = -(2**63)
 _U = np.uint64
 
 
+#: Bytes of text in a block, and bytes of text per slice of what blocks exchange. Both follow the
+#: size of the corpus; a block and a slice exchange at most one row, and only if they share a key.
+BLOCK_BYTES = 1 << 20
+SLICE_BYTES = 8 << 20
+LEAST_BLOCKS = 8
+
+
 # --- packed arrays
 
 
@@ -166,6 +172,10 @@ class Blocks:
     n_parts: int
     total_bytes: int
 
+    @property
+    def n_slices(self) -> int:
+        return max(LEAST_BLOCKS, -(-self.total_bytes // SLICE_BYTES))
+
     def each(self, function: Callable[[TextBlock], Iterator[dict]], schema: str) -> DataFrame:
         """Rows that ``function`` gives for each block; it yields columns."""
 
@@ -206,14 +216,14 @@ def _table(rows, schema: str) -> pa.Table:
     return pa.concat_tables(parts) if parts else target.empty_table()
 
 
-def blocks_of(docs: DataFrame, carry: tuple[str, ...] = (), task_bytes: int = TASK_BYTES) -> Blocks:
+def blocks_of(docs: DataFrame, carry: tuple[str, ...] = ()) -> Blocks:
     """Deals the documents out. A null text counts as empty. Columns to ``carry`` go along as JSON
     text."""
     carried = F.to_json(F.struct(*carry)) if carry else F.lit(None).cast("string")
     texts = docs.select(*text_columns(), carried.alias("carried"))
     size = total_bytes(texts)
-    n_parts = max(shuffle_partitions(docs.sparkSession), -(-size // task_bytes))
-    n_blocks = n_parts * BLOCKS_PER_TASK
+    n_parts = max(shuffle_partitions(docs.sparkSession), -(-size // TASK_BYTES))
+    n_blocks = max(LEAST_BLOCKS, -(-size // BLOCK_BYTES))
     key = F.xxhash64(F.coalesce("doc_id", F.xxhash64("text")))
     frame = texts.withColumn("block", F.pmod(key, F.lit(n_blocks)))
     return Blocks(frame.repartition(n_parts, "block"), n_blocks, n_parts, size)
@@ -244,7 +254,7 @@ def per_slice(
 
 # --- count-min sketch
 
-SLICE_BITS = 22
+SLICE_BITS = 24
 #: Cells of a row of the sketch per key, so that few keys share both their cells.
 CELLS_PER_KEY = 4
 
@@ -264,7 +274,7 @@ class Sketch:
 
     @staticmethod
     def for_keys(n_keys: int) -> Sketch:
-        return Sketch(max(SLICE_BITS - 6, int(CELLS_PER_KEY * max(n_keys, 1) - 1).bit_length()))
+        return Sketch(max(16, int(CELLS_PER_KEY * max(n_keys, 1) - 1).bit_length()))
 
     @property
     def slice_bits(self) -> int:

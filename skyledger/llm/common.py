@@ -12,9 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyledger.plans.storage import scratch_folder
 
-#: Bytes of text that one task of a blocked operator is meant to hold.
+#: Bytes of text that one task is meant to get.
 TASK_BYTES = 32 << 20
-BLOCKS_PER_TASK = 4
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

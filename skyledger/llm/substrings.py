@@ -62,7 +62,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     blocks = blocks_of(docs)
     sketch = Sketch.for_keys(blocks.total_bytes // BYTES_PER_WORD)
-    n_slices = 2 * blocks.n_parts
+    n_slices = blocks.n_slices
 
     def keys_of(block: TextBlock) -> np.ndarray:
         return _window_hashes(block, width, 0)[_windows(block, width)]

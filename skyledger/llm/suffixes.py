@@ -139,7 +139,7 @@ def remove_repeats(
         raise ValueError(f"length must be a multiple of {SYMBOL} above {ANCHOR}")
     blocks = blocks_of(docs, carry)
     sketch = Sketch.for_keys(2 * blocks.total_bytes // (length - ANCHOR + 2))
-    n_slices = 2 * blocks.n_parts
+    n_slices = blocks.n_slices
 
     def keys_of(block: TextBlock) -> np.ndarray:
         return Segments(block, length, ANCHOR).key
