@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 LOCAL_ZONE = "America/Sao_Paulo"
+_SUFFIXED = r'[0-9.][dDfF]"? *$'
+
+
+def unquoted(value: Column) -> Column:
+    """A JSON value that was read as text: the words NaN and Infinity come in double quotes."""
+    return F.btrim(value, F.lit('" '))
 
 
 def as_double(value: Column, is_text: bool = True) -> Column:
-    """A number or NULL. As text, the JSON words NaN and Infinity come in double quotes."""
-    number = value.try_cast("double")
-    return F.coalesce(number, F.btrim(value, F.lit('"')).try_cast("double")) if is_text else number
+    """A number or NULL. As text, a type suffix as in ``30f`` makes no number."""
+    if not is_text:
+        return value.try_cast("double")
+    return F.when(~value.rlike(_SUFFIXED), unquoted(value).try_cast("double"))
 
 
 def as_int(value: Column, is_text: bool = True) -> Column:

@@ -1,23 +1,81 @@
-"""JSON text to columns, parsed once per row."""
+"""JSON text to columns: joined objects taken apart, each object parsed once."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+#: The end of an object that another one follows. Braces inside strings do not count; a text with an
+#: unfinished string is not taken apart.
+_JOINT = r'\G((?:[^"}]++|"(?:[^"\\]++|\\.)*+"|\}(?!\s*\{))*+\})\s*(?=\{)'
+_MAY_BE_JOINED = r"\}\s*\{"
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_BREAK = "\n"
+#: What could close the brackets that a piece is parsed in.
+_CLOSES_LIST = r"\]\s*\}"
+
+
+def pieces_of(text: Column) -> Column:
+    """The objects of a text without line breaks that holds one or several of them, in order.
+
+    A text that cannot be taken apart is one piece; a blank text has none.
+    """
+    parts = F.when(
+        text.rlike(_MAY_BE_JOINED),
+        F.split(F.regexp_replace(text, _JOINT, f"$1{_BREAK}"), _BREAK, -1),
+    ).otherwise(F.array(text))
+    return F.filter(parts, lambda part: F.btrim(part, F.lit(" \t\r")) != "")
+
+
+def one_line(text: Column) -> Column:
+    """A JSON text without line breaks; inside strings JSON has none."""
+    return F.translate(text, "\n\r", "  ")
+
+
+def _closed(piece: Column) -> Column:
+    """Whether nothing closes more brackets than the piece opened, which would hide what follows."""
+    bare = F.regexp_replace(piece, _STRING, "")
+
+    def count(mark: str) -> Column:
+        return F.length(bare) - F.length(F.replace(bare, F.lit(mark), F.lit("")))
+
+    balanced = (count("{") == count("}")) & (count("[") == count("]"))
+    return F.when(piece.rlike(_CLOSES_LIST), balanced).otherwise(F.lit(True))
 
 
 def parse_json(
     lines: DataFrame,
     column: str,
     schema: T.StructType,
+    corrupt: str,
     keep: Sequence[str] = (),
-    **options: str,
 ) -> DataFrame:
-    """The ``keep`` columns, then the fields of ``schema`` out of the JSON text in ``column``.
+    """The ``keep`` columns, then the fields of ``schema`` out of each object in ``column``, then
+    ``corrupt``: the piece itself where it is not exactly one object.
 
-    As a generator with one row rather than a projection: a later filter on a parsed field would be
-    pushed below a projection together with the whole parser, which then runs twice on each row.
+    A piece is parsed inside brackets, so that what stands behind the object is seen. As a generator
+    with one row rather than a projection: a later filter on a parsed field would be pushed below a
+    projection together with the whole parser, which then runs twice on each row.
     """
-    parsed = F.from_json(column, schema, options)
-    return lines.select(*keep, F.inline(F.array(parsed)))
+    bad = "json_failure"
+    inside = T.StructType().add("json_objects", T.ArrayType(schema)).add(bad, T.StringType())
+    piece = F.col("json_piece")
+    wrapped = F.concat(F.lit('{"json_objects":['), piece, F.lit("]}"))
+    parsed = F.from_json(wrapped, inside, {"columnNameOfCorruptRecord": bad})
+    single = lines.select(
+        *keep, F.explode(pieces_of(F.col(column))).alias("json_piece")
+    )
+    opened = single.select(*keep, "json_piece", F.inline(F.array(parsed)))
+    one = F.try_element_at("json_objects", F.lit(1))
+    whole = (
+        F.col(bad).isNull()
+        & (F.size("json_objects") == 1)
+        & one.isNotNull()
+        & piece.rlike(r"^\s*\{")
+        & _closed(piece)
+    )
+    fields = [one.getField(name).alias(name) for name in schema.names]
+    return opened.select(
+        *keep, *fields, F.when(~F.coalesce(whole, F.lit(False)), piece).alias(corrupt)
+    )

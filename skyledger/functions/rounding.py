@@ -3,8 +3,9 @@
 Double sums depend on the order in which partitions arrive, and an exact ``.xx5`` mean can land on
 either side. Measurements carry few decimals, so each value is also counted in whole units of
 0.0001 and summed as a long: primitive arithmetic inside code generation, several times faster than
-a decimal average. A group falls back to the double mean when one of its values is not a whole
-number of units (more decimals, NaN, infinity) or when the long sum overflows.
+a decimal average. The sum is kept in two longs, of the high and the low bits, so that no group
+overflows. A group falls back to the double mean when one of its values is not a whole number of
+units (more decimals, NaN, infinity).
 """
 
 from __future__ import annotations
@@ -13,8 +14,7 @@ from pyspark.sql import Column, functions as F
 
 UNITS_PER_ONE = 10_000
 _UNITS_PER_CENT = UNITS_PER_ONE // 100
-# Leaves room to add half a cent per row without overflow.
-_SAFE_SUM = 4 * 10**18
+_LOW_BITS = 31
 
 
 def whole_units(value: Column) -> Column:
@@ -28,24 +28,32 @@ def round_2(value: Column) -> Column:
     return F.round(value, 2)
 
 
-def mean_2(units: str, unit_rows: str, total: str, rows: str) -> Column:
+def high_bits(units: Column) -> Column:
+    return F.shiftright(units, _LOW_BITS)
+
+
+def low_bits(units: Column) -> Column:
+    """What ``high_bits`` leaves, never negative."""
+    return units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1).cast("bigint"))
+
+
+def mean_2(high: str, low: str, unit_rows: str, total: str, rows: str) -> Column:
     """Mean of a group, rounded; the arguments name its columns.
 
-    ``units``/``unit_rows``: sum and count of the exact unit values; ``total``/``rows``: sum and
-    count of all values as doubles.
+    ``high``, ``low`` and ``unit_rows``: sums and count of the exact unit values; ``total`` and
+    ``rows``: sum and count of all values as doubles.
     """
+    # Once per group, so it may be interpreted: as generated code it would make methods too large.
     # Integer division truncates towards zero, so half a cent is added away from zero first.
-    half = f"{rows} * {_UNITS_PER_CENT // 2}L"
+    count = f"cast({rows} as decimal(20, 0))"
     cents = F.expr(
-        f"({units} + case when {units} < 0 then -{half} else {half} end)"
-        f" div ({rows} * {_UNITS_PER_CENT}L)"
+        f"aggregate(array(cast({low} as decimal(38, 0))),"
+        f" cast(cast({high} as decimal(20, 0)) * {1 << _LOW_BITS}L as decimal(38, 0)), (h, l) -> cast(h + l as decimal(38, 0)),"
+        f" u -> (2 * u + if(u < 0, -1, 1) * {_UNITS_PER_CENT} * {count}) div"
+        f" ({2 * _UNITS_PER_CENT} * {count}))"
     )
     exact = cents / F.lit(100.0)
     # Fifteen significant digits bring a decimal tie back before it is rounded.
     fifteen_digits = F.format_string("%.14e", F.col(total) / F.col(rows)).try_cast("double")
-    is_exact = (
-        (F.col(rows) > 0)
-        & (F.col(unit_rows) == F.col(rows))
-        & F.col(units).between(-_SAFE_SUM, _SAFE_SUM)
-    )
+    is_exact = (F.col(rows) > 0) & (F.col(unit_rows) == F.col(rows))
     return F.when(is_exact, exact).when(F.col(rows) > 0, round_2(fifteen_digits))

@@ -1,26 +1,22 @@
-"""Raw zone: JSON files with one weather document per line."""
+"""Raw zone: JSON files with one or several weather documents per line."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger.functions.parsing import parse_json
-from skyledger.sources.schema import CORRUPT, DOCUMENT_SCHEMA, RAW_SCHEMA, TEXT_LINE
+from skyledger.sources.schema import CORRUPT, DOCUMENT_SCHEMA, TEXT_LINE
 
 RAW_GLOB = "*/*/*"
 
 
 def _read(reader, path: str, glob: str, recursive: bool, options) -> DataFrame:
-    configured = (
-        reader.schema(RAW_SCHEMA)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .options(**options)
+    lines = reader.option("recursiveFileLookup", str(recursive).lower()).options(**options)
+    return parse_documents(
+        lines.text(path if recursive or not glob else f"{path.rstrip('/')}/{glob}")
     )
-    return configured.json(path if recursive or not glob else f"{path.rstrip('/')}/{glob}")
 
 
 def read_raw(
@@ -30,11 +26,12 @@ def read_raw(
     recursive: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Documents below ``path``, numbers as text; a line that is not JSON keeps its text in
-    ``_corrupt_record``.
+    """Documents below ``path``, numbers as text; a piece of a line that is not exactly one JSON
+    object keeps its text in ``_corrupt_record``.
 
-    The schema is explicit: there is no inference pass, and a field that no file has is NULL.
-    ``glob`` reads files at depth three and four; ``recursive`` reads any depth instead.
+    Objects that were written without a line break between them are taken apart. The schema is
+    explicit: there is no inference pass, and a field that no file has is NULL. ``glob`` reads
+    files at depth three and four; ``recursive`` reads any depth instead.
     """
     return _read(spark.read, path, glob, recursive, options)
 
@@ -58,22 +55,16 @@ def parse_documents(
     lines: DataFrame, column: str = TEXT_LINE, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Documents out of a text column, in the shape of ``read_raw``."""
-    return parse_json(lines, column, RAW_SCHEMA, keep, columnNameOfCorruptRecord=CORRUPT)
-
-
-def _reads_a_field() -> Column:
-    """Always true: the file reader refuses a query that needs the corrupt column alone, such as a
-    count of the good lines, and with this term the filter needs one more column."""
-    return F.coalesce(F.col("data.time") >= "", F.lit(True))
+    return parse_json(lines, column, DOCUMENT_SCHEMA, CORRUPT, keep)
 
 
 def well_formed(documents: DataFrame) -> DataFrame:
-    return documents.where(F.col(CORRUPT).isNull() & _reads_a_field()).drop(CORRUPT)
+    return documents.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def quarantine(documents: DataFrame) -> DataFrame:
-    """The lines that could not be read: text in ``_corrupt_record``, other fields as far as read."""
-    return documents.where(F.col(CORRUPT).isNotNull() & _reads_a_field())
+    """The pieces that could not be read: text in ``_corrupt_record``, other fields as far as read."""
+    return documents.where(F.col(CORRUPT).isNotNull())
 
 
 def to_lines(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -50,12 +50,12 @@ DOCUMENT_SCHEMA = (
     .add("data", T.StructType().add("time", _TEXT).add("values", _VALUES))
     .add("location", T.StructType().add("lat", _TEXT).add("lon", _TEXT).add("name", _TEXT))
 )
-RAW_SCHEMA = T.StructType([*DOCUMENT_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
 
-# The keys of the envelope.
-ENVELOPE_SCHEMA = T.StructType().add(
-    "Records",
-    T.ArrayType(T.StructType().add("kinesis", T.StructType().add("data", T.StringType()))),
+# The keys of the envelope. The list is opened in a second step, so that one of another
+# type can be told from none.
+ENVELOPE_SCHEMA = T.StructType().add("Records", T.StringType())
+RECORDS_SCHEMA = T.ArrayType(
+    T.StructType().add("kinesis", T.StructType().add("data", T.StringType()))
 )
 
 # Partition column of the silver files: lines that could not be read lie beside the others.

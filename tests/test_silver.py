@@ -5,14 +5,15 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from skyledger.functions.casts import local_day
+from skyledger.functions.parsing import parse_json
 from skyledger.operators.silver import to_silver
 from skyledger.sources.raw import quarantine, read_raw, well_formed
 from skyledger.sources.schema import SILVER_COLUMNS, silver_schema
 
-from helpers import PLACE, document, documents_frame, write_lines
+from helpers import PLACE, document, documents_frame, lines_frame, write_lines
 
 
 def silver_row(spark, doc, **options):
@@ -107,15 +108,42 @@ def test_glob_depth(spark, tmp_path):
         read_raw(spark, str(tmp_path / "a/b/c/d")).count()
 
 
-def test_corrupt_lines_go_to_quarantine(spark, tmp_path):
+def test_corrupt_pieces_go_to_quarantine(spark, tmp_path):
     good = json.dumps(document(temperature=1))
     broken = good[:40]
     two = json.dumps(document(temperature=2)) + json.dumps(document(temperature=3))
-    write_lines(tmp_path / "a/b", "f.json", good, broken, "", two)
+    followed = json.dumps(document(temperature=4)) + " junk"
+    write_lines(tmp_path / "a/b", "f.json", good, broken, "", two, followed)
     documents = read_raw(spark, str(tmp_path))
     kept = to_silver(well_formed(documents)).collect()
-    assert sorted(r.temperature for r in kept) == [1.0, 2.0]
-    assert [r._corrupt_record for r in quarantine(documents).collect()] == [broken]
+    assert sorted(r.temperature for r in kept) == [1.0, 2.0, 3.0]
+    assert sorted(r._corrupt_record for r in quarantine(documents).collect()) == sorted(
+        [broken, followed]
+    )
+
+
+JOINED = [
+    ('{"a":1}{"a":2}  {"a":"}{"}', ["1", "2", "}{"], []),
+    ('{"a":"x\\"}{"}{"a":3}', ['x"}{', "3"], []),
+    ('{"a":1}{"a":2} junk', ["1"], ['{"a":2} junk']),
+    ('{"a":1}} junk', [], ['{"a":1}} junk']),
+    ('{"a":1}]} junk', [], ['{"a":1}]} junk']),
+    ('{"a":1},{"a":2}', [], ['{"a":1},{"a":2}']),
+    ('{"a":"unfinished}{"a":2}', [], ['{"a":"unfinished}{"a":2}']),
+    ('{"a":[1,{"c":2}]}', ['[1,{"c":2}]'], []),
+    ("null", [], ["null"]),
+    ('[{"a":1}]', [], ['[{"a":1}]']),
+    ("  ", [], []),
+    ('{"a":1}' * 20_000, ["1"] * 20_000, []),
+]
+
+
+@pytest.mark.parametrize("text, values, bad", JOINED, ids=range(len(JOINED)))
+def test_joined_objects(spark, text, values, bad):
+    schema = T.StructType().add("a", T.StringType())
+    rows = parse_json(lines_frame(spark, [text]), "value", schema, "bad").collect()
+    assert [r.a for r in rows if r.bad is None] == values
+    assert [r.bad for r in rows if r.bad is not None] == bad
 
 
 def test_a_measurement_of_another_kind_costs_only_itself(spark, tmp_path):
