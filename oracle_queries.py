@@ -94,6 +94,13 @@ _CODES = (
     f" group by {_PLACE}, weather_code"
 )
 
+
+
+def _positions(select: str, first: str, *more: str) -> str:
+    keys = ", ".join(f"{c} nulls first" for c in ("location_name", "latitude", "longitude", *more))
+    return f"select *, row_number() over (order by {first}, {keys}) - 1 as position from ({select})"
+
+
 _LONG = [
     f"select '{table}' as table_name, {_PLACE}, datetime_brasil as date,"
     f" cast(null as integer) as weather_code, '{measure}' as measure,"
@@ -165,11 +172,22 @@ def _line(column: str, start: str, unit: str) -> str:
     return f"'{start}' || label || ': ' || {column}_text || '{unit}'"
 
 
-_RULES = "rules as (" + " union all ".join(
-    f"select event_id, {order} as rule_order, '{rule}' as rule_id, {column} as value,"
-    f" {_line(column, start, unit)} as message from inputs where {column} {condition}"
-    for order, (rule, column, condition, start, unit) in enumerate(_FIRED, start=1)
-) + ")"
+def _rules(fired: list[tuple[str, str, str, str, str]]) -> str:
+    return "rules as (" + " union all ".join(
+        f"select event_id, {order} as rule_order, '{rule}' as rule_id, {column} as value,"
+        f" {_line(column, start, unit)} as message from inputs where {column} {condition}"
+        for order, (rule, column, condition, start, unit) in enumerate(fired, start=1)
+    ) + ")"
+
+
+_RULES = _rules(_FIRED)
+_CUSTOM = {
+    "rain_probability": ">= 55",
+    "wind_speed": ">= 12.5",
+    "extreme_cold": "<= 0.5",
+    "low_visibility": "<= 2.25",
+}
+_CUSTOM_RULES = _rules([(r, c, _CUSTOM.get(r, t), s, u) for r, c, t, s, u in _FIRED])
 _DIGESTS = """
 digests as (
   select event_id, 'Severe weather alert' as subject,
@@ -191,6 +209,14 @@ records as (
   from docs where event_id % 40 <> 0 and (event_id % 41 = 0 or event_id % 43 = 0)
 )"""
 
+# Odd envelopes: broken, of another shape, with two documents in one payload, two on one line.
+_ODD = """
+odd as (
+  select *, event_id % 7 as kind, copy
+  from docs cross join (values (0), (1)) as copies(copy)
+  where copy = 0 or event_id % 7 in (2, 3)
+)"""
+
 ORACLE_SQL: dict[str, str] = {
     "raw_events": _with_docs(
         "select datetime_utc as time, location_name as name,"
@@ -209,6 +235,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "envelope_status": (
         "select event_id, case when event_id % 40 = 0 then 400 else 200 end as status,"
+        " case when event_id % 40 = 0 then 'no_records' end as reason,"
         " case when event_id % 40 = 0 then 0"
         " when event_id % 41 = 0 or event_id % 43 = 0 then 2 else 1 end as records from events"
     ),
@@ -222,16 +249,63 @@ ORACLE_SQL: dict[str, str] = {
     "silver_local_day": _with_docs("select event_id, datetime_utc, datetime_brasil from docs"),
     **{name: _with_docs(_daily(measures)) for name, measures in _DAILY.items()},
     "weather_condition_summary": _with_docs(_CODES),
-    "avg_temperature_daily_ordered": _with_docs(
-        _daily(_DAILY["avg_temperature_daily"]) + " order by date desc nulls first"
+    **{
+        f"{name}_ordered": _with_docs(_positions(_daily(measures), "date desc nulls first"))
+        for name, measures in _DAILY.items()
+    },
+    "weather_condition_summary_ordered": _with_docs(
+        _positions(_CODES, "weather_code_count desc", "weather_code")
+    ),
+    "silver_ingestion": (
+        "select event_id, date '2024-02-03' as ingestion_at,"
+        " epoch(timestamp '2024-02-03 12:05:06')::bigint as ingestion_seconds from events"
+    ),
+    "raw_joined_objects": _with_docs(
+        "select case when bad then null else datetime_utc end as time,"
+        " case when bad then null else location_name end as name,"
+        f" case when bad then null else {_text('wind_gust')} end as wind_gust,"
+        " case when bad then '} }junk' end as corrupt_end,"
+        " case when bad then datetime_utc end as corrupt_time"
+        " from (select *, event_id % 30 = 29 as bad from docs)"
+    ),
+    "silver_after_failed_load": _with_docs(
+        f"select {_PLACE}, datetime_brasil as date, count(*) as rows,"
+        f" {_positive('rain_intensity')} as rain_events, {_positive('snow_intensity')} as snow_events"
+        f" from docs group by {_PLACE}, datetime_brasil"
+    ),
+    "envelope_oddities": _with_docs(
+        "select event_id, case when kind > 1 then 0 end as record_index,"
+        " case when kind > 1 then case when kind = 2 then copy else 0 end end as document_index,"
+        " case kind when 0 then 'envelope_json' when 1 then 'envelope_shape' end as decode_error,"
+        " case when kind > 1 then datetime_utc end as time from odd",
+        _ODD,
+    ),
+    "envelope_reasons": _with_docs(
+        "select event_id, case when kind < 2 then 400 else 200 end as status,"
+        " case kind when 0 then 'envelope_json' when 1 then 'envelope_shape' end as reason,"
+        " case when kind < 2 then 0 else 1 end as records"
+        " from odd where not (kind = 2 and copy = 1)",
+        _ODD,
+    ),
+    "alerts_quarantine": _with_docs(
+        "select case kind when 0 then 'envelope_json' else 'envelope_shape' end as decode_error,"
+        " case kind when 0 then '{\"Records\":[{\"kinesis\":{\"data\":\"eyJkYXRh' else '5' end"
+        " as bad_payload from odd where kind < 2",
+        _ODD,
+    ),
+    "alert_rules_custom": _with_docs(
+        "select event_id, rule_order, rule_id, cast(value as double) as value, message from rules",
+        *_ALERTS[:2],
+        _CUSTOM_RULES,
     ),
-    "weather_condition_summary_ordered": _with_docs(_CODES + " order by weather_code_count desc"),
     "gold_fused_daily": _WIDE,
     "gold_from_rollup": _WIDE,
     "alert_inputs": _with_docs(
         "select event_id, label, "
         + ", ".join(f"cast({c} as double) as {c}" for c in _ALERT_DEFAULTS)
-        + ", temperature_text, visibility_text, pressure_sea_level_text from inputs",
+        + ", "
+        + ", ".join(f"{c}_text" for c in _ALERT_DEFAULTS)
+        + " from inputs",
         _LABELLED,
         _INPUTS,
     ),
@@ -274,5 +348,5 @@ ORACLE_SQL: dict[str, str] = {
         *_ALERTS,
         _RECORDS,
     ),
-    "raw_to_gold": _WIDE,
+    "raw_to_gold": _with_docs(" union all ".join(_LONG)),
 }

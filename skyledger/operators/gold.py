@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyledger.operators.measures import (
     CountPositive,
@@ -44,6 +44,7 @@ def _daily(**measures: Measure) -> GoldTable:
     return GoldTable(DAY_KEY, measures, newest_or_largest_first="date")
 
 
+# Names and columns of the gold tables.
 GOLD_TABLES = {
     "avg_temperature_daily": _daily(
         avg_temperature=Mean("temperature"),
@@ -136,14 +137,52 @@ def weather_codes_from_rollup(states: DataFrame) -> DataFrame:
     return _merged(states, GOLD_TABLES["weather_condition_summary"])
 
 
+def merge_weather_codes(counts: DataFrame) -> DataFrame:
+    """Weather-code counts of several parts to one row per key."""
+    table = GOLD_TABLES["weather_condition_summary"]
+    return counts.groupBy(*table.key).agg(*(F.sum(m).alias(m) for m in table.measures))
+
+
+def daily_columns(name: str) -> list[str]:
+    """Columns of a daily table, or of the wide one that holds them all."""
+    return (_WIDE if name == DAILY_WIDE else GOLD_TABLES[name]).columns
+
+
 def daily_tables(wide: DataFrame) -> dict[str, DataFrame]:
     """The six daily tables as plain projections of the wide one."""
-    return {name: wide.select(*GOLD_TABLES[name].columns) for name in DAILY_TABLES}
+    return {name: wide.select(*daily_columns(name)) for name in DAILY_TABLES}
 
 
 def order_for_reading(table: DataFrame, name: str) -> DataFrame:
-    """Newest day or largest count first; rows without a day come first, as in the reports."""
-    return table.orderBy(F.desc_nulls_first(GOLD_TABLES[name].newest_or_largest_first))
+    """Newest day or largest count first; rows without a day come first, as in the reports.
+
+    Rows of one day or count follow by their other key columns, so the order is total and the sort
+    can split a day over several tasks.
+    """
+    first = GOLD_TABLES[name].newest_or_largest_first
+    others = [c for c in table.columns if c in (*LOCATION_KEY, "weather_code")]
+    return table.orderBy(F.desc_nulls_first(first), *(F.asc_nulls_first(c) for c in others))
+
+
+def numbered(ordered: DataFrame) -> DataFrame:
+    """An ordered frame with ``row_id``, which ascends with the order; to be stored."""
+    return ordered.withColumn("row_id", F.monotonically_increasing_id())
+
+
+def with_position(stored: DataFrame) -> DataFrame:
+    """Rows of a stored ``numbered`` frame with their ``position`` from 0.
+
+    A row id tells the partition and the row in it. The rows of the partitions before come from a
+    table with one row per partition, so no task sees more than its part.
+    """
+    parted = stored.withColumn("part", F.shiftright("row_id", 33))
+    sizes = parted.groupBy("part").agg(F.count("*").alias("n"), F.min("row_id").alias("low"))
+    before = F.sum("n").over(Window.orderBy("part")) - F.col("n")
+    offsets = sizes.select("part", "low", before.alias("before"))
+    position = F.col("before") + F.col("row_id") - F.col("low")
+    return parted.join(F.broadcast(offsets), "part").select(
+        *(c for c in stored.columns if c != "row_id"), position.alias("position")
+    )
 
 
 def in_long_form(name: str, table: DataFrame) -> DataFrame:

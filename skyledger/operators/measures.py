@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from skyledger.functions.rounding import mean_2, round_2, whole_units
+from skyledger.functions.rounding import high_bits, low_bits, mean_2, round_2, whole_units
 
 
 GROUP_ROWS = "group__rows"
@@ -24,33 +24,27 @@ GROUP_ROWS = "group__rows"
 class Mean:
     column: str
 
-    def _names(self) -> tuple[str, str, str, str]:
+    def _names(self) -> tuple[str, str, str, str, str]:
         c = self.column
-        return f"{c}__units", f"{c}__unit_rows", f"{c}__total", f"{c}__rows"
+        return f"{c}__high", f"{c}__low", f"{c}__unit_rows", f"{c}__total", f"{c}__rows"
 
     def inputs(self) -> dict[str, Column]:
         value = F.col(self.column)
         return {self.column: value, f"{self.column}__units": whole_units(value)}
 
     def states(self) -> dict[str, Column]:
-        units, unit_rows, total, rows = self._names()
+        high, low, unit_rows, total, rows = self._names()
+        units = F.col(f"{self.column}__units")
         return {
-            units: F.try_sum(units),
+            high: F.sum(high_bits(units)),
+            low: F.sum(low_bits(units)),
             unit_rows: F.count(units),
             total: F.sum(self.column),
             rows: F.count(self.column),
         }
 
     def merge(self) -> dict[str, Column]:
-        units, unit_rows, total, rows = self._names()
-        # A part whose unit sum overflowed counts no exact rows, so the whole group falls back.
-        usable = F.when(F.col(units).isNotNull(), F.col(unit_rows)).otherwise(F.lit(0))
-        return {
-            units: F.try_sum(units),
-            unit_rows: F.sum(usable),
-            total: F.sum(total),
-            rows: F.sum(rows),
-        }
+        return {name: F.sum(name) for name in self._names()}
 
     def result(self) -> Column:
         return mean_2(*self._names())

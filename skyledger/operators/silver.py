@@ -45,7 +45,9 @@ def typed_silver(
 
     now = F.current_timestamp() if ingested_at is None else F.lit(ingested_at).cast("timestamp")
     return fields.select(
-        number("location_name") if location_mode == "double" else name.cast("string"),
+        (name.try_cast("double") if location_mode == "double" else name.cast("string")).alias(
+            "location_name"
+        ),
         number("latitude"),
         number("longitude"),
         time.alias("datetime_utc"),

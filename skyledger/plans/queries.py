@@ -8,7 +8,7 @@ scan and the derivation down to what a query needs.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,25 +16,28 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from skyledger.operators import alerts, gold
 from skyledger.operators.silver import to_silver, typed_silver
 from skyledger.plans import refresh
-from skyledger.plans.storage import Deployment, scratch_folder
+from skyledger.plans.storage import Deployment, load_folder, scratch_folder
 from skyledger.sinks.tables import land_documents, land_lines
 from skyledger.sources import envelope
 from skyledger.sources.raw import parse_documents, read_raw, to_lines, well_formed
 from skyledger.sources.sample_documents import (
     events_table,
-    spread,
     weather_documents,
     weather_fields,
 )
 from skyledger.sources.schema import (
+    CORRUPT,
     EVENT_COLUMNS,
+    LOCAL_DAY,
     LOCATION_KEY,
     MEASUREMENTS,
+    STATUS,
+    STATUS_OK,
     TEXT_LINE,
     snake_case,
 )
 from skyledger.sources.tables import read_all_gold, read_gold, read_silver
-from skyledger.streaming.alerts import digests_of, write_digests
+from skyledger.streaming.alerts import digests_of, undecoded_of, write_digests
 from skyledger.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,7 +47,7 @@ SECOND_DAY = date(2024, 2, 1)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weather_documents(spread(events_table(spark, sf_dir)))
+    return weather_documents(events_table(spark, sf_dir))
 
 
 def _fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,8 +145,13 @@ def _gold_query(name: str) -> Query:
 
 
 def _ordered_gold_query(name: str) -> Query:
+    """The table in reading order, each row with its position there."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return gold.gold_table(_silver(spark, sf_dir), name, ordered=True)
+        ordered = gold.gold_table(_silver(spark, sf_dir), name, ordered=True)
+        folder = f"{scratch_folder(spark, 'ordered')}/{name}"
+        gold.numbered(ordered).write.parquet(folder)
+        return gold.with_position(spark.read.parquet(folder))
 
     query.__name__ = f"{name}_ordered"
     return query
@@ -164,7 +172,7 @@ def _inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alert_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = [snake_case(m) for m in alerts.DEFAULTS]
-    texts = ["temperature_text", "visibility_text", "pressure_sea_level_text"]
+    texts = [f"{number}_text" for number in numbers]
     return _inputs(spark, sf_dir).select("event_id", "label", *numbers, *texts)
 
 
@@ -189,7 +197,7 @@ def silver_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     deployment = _landed(spark, sf_dir, "append")
     for _ in range(2):
         refresh.append_all(spark, deployment)
-    silver = read_silver(spark, deployment.silver)
+    silver = read_silver(spark, deployment)
     day = F.col("datetime_brasil").alias("date")
     return silver.groupBy(*LOCATION_KEY, day).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -198,6 +206,10 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append, refresh all gold tables, and stack what the current slot holds."""
     deployment = _landed(spark, sf_dir, "gold")
     refresh.run(spark, deployment, mode="append_full")
+    return _all_gold(spark, deployment)
+
+
+def _all_gold(spark: SparkSession, deployment: Deployment) -> DataFrame:
     tables = read_all_gold(spark, deployment).items()
     return reduce(DataFrame.unionByName, (gold.in_long_form(*table) for table in tables))
 
@@ -226,7 +238,121 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_documents(documents.where(later), deployment.raw, SECOND_DAY)
     ingest_available(spark, deployment)
     ingest_available(spark, deployment)
-    return read_silver(spark, deployment.silver).select(*EVENT_COLUMNS)
+    return read_silver(spark, deployment).select(*EVENT_COLUMNS)
+
+
+INGESTED_AT = datetime(2024, 2, 3, 12, 5, 6)
+
+
+def silver_ingestion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both ingestion columns for a given moment: noon in UTC, so one day for most session zones."""
+    moment = F.lit(f"{INGESTED_AT:%Y-%m-%d %H:%M:%S}Z").cast("timestamp")
+    silver = _silver(spark, sf_dir, keep=["event_id"], ingested_at=moment)
+    return silver.select(
+        "event_id",
+        "ingestion_at",
+        F.unix_seconds("ingestion_at_timestamp").alias("ingestion_seconds"),
+    )
+
+
+CUSTOM_THRESHOLDS = {
+    "PRECIPITATION_PROBABILITY_THRESHOLD": "55",
+    "WIND_SPEED_THRESHOLD": "12.5",
+    "LOW_TEMP_THRESHOLD": "0.5",
+    "LOW_VISIBILITY_THRESHOLD": "2.25",
+}
+
+
+def alert_rules_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fired rules with some thresholds from a mapping; a missing temperature counts as 0 and fires."""
+    config = alerts.AlertConfig.from_environment(CUSTOM_THRESHOLDS)
+    inputs = alerts.alert_inputs(_fields(spark, sf_dir), config, keep=["event_id"])
+    return alerts.fired_rules(inputs, config, keep=["event_id"])
+
+
+def raw_joined_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land lines with three documents each, some with junk behind the last, and read them back:
+    documents, and the pieces that could not be read."""
+    deployment = _new_deployment(spark, "joined")
+    lines = to_lines(_documents(spark, sf_dir), keep=("event_id",))
+    spoilt = F.when(F.col("event_id") % 30 == 29, F.lit(" }junk")).otherwise(F.lit(""))
+    line = F.floor(F.col("event_id") / 3).alias("line")
+    rows = lines.select(line, "event_id", F.concat(TEXT_LINE, spoilt).alias("piece"))
+    joined = rows.groupBy("line").agg(F.sort_array(F.collect_list(F.struct("event_id", "piece"))).alias("p"))
+    joined = joined.select(F.concat_ws(" ", F.col("p.piece")).alias(TEXT_LINE))
+    land_lines(joined, deployment.raw, FIRST_DAY)
+    raw = read_raw(spark, deployment.raw)
+    return raw.select(
+        F.when(F.col(CORRUPT).isNull(), F.col("data.time")).alias("time"),
+        F.when(F.col(CORRUPT).isNull(), F.col("location.name")).alias("name"),
+        F.when(F.col(CORRUPT).isNull(), F.col("data.values.windGust")).alias("wind_gust"),
+        F.right(CORRUPT, F.lit(7)).alias("corrupt_end"),
+        F.regexp_extract(CORRUPT, r'"time":"([^"]*)"', 1).alias("corrupt_time"),
+    )
+
+
+def silver_after_failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that failed after its rows were written, then the same input again: it counts once."""
+    deployment = _landed(spark, sf_dir, "failed")
+    documents = to_silver(read_raw(spark, deployment.raw), keep=[CORRUPT])
+    half = documents.withColumn(STATUS, F.lit(STATUS_OK))
+    half.write.partitionBy(STATUS, LOCAL_DAY).parquet(load_folder(deployment.silver, "failed"))
+    refresh.run(spark, deployment, mode="append_full")
+    silver = read_silver(spark, deployment)
+    day = F.col(LOCAL_DAY).alias("date")
+    in_silver = silver.groupBy(*LOCATION_KEY, day).agg(F.count(F.lit(1)).alias("rows"))
+    in_gold = read_gold(spark, deployment, "snow_rain_condition_daily")
+    return in_silver.join(
+        in_gold.withColumnsRenamed({c: f"gold_{c}" for c in (*LOCATION_KEY, "date")}),
+        [F.col(c).eqNullSafe(F.col(f"gold_{c}")) for c in (*LOCATION_KEY, "date")],
+        "full",
+    ).select(*LOCATION_KEY, "date", "rows", "rain_events", "snow_events")
+
+
+def _odd_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One envelope per event and line: some broken, some of another shape, some with a payload of
+    two documents, some followed by a second envelope."""
+    lines = to_lines(_documents(spark, sf_dir), keep=("event_id",))
+    text, event_id = F.col(TEXT_LINE), F.col("event_id")
+
+    def whole(payload: Column) -> Column:
+        record = F.struct(F.struct(envelope.encode_payload(payload).alias("data")).alias("kinesis"))
+        return F.to_json(F.struct(F.array(record).alias("Records")))
+
+    good = whole(text)
+    line = (
+        F.when(event_id % 7 == 0, F.substring(good, 1, 40))
+        .when(event_id % 7 == 1, F.lit('{"Records": 5}'))
+        .when(event_id % 7 == 2, whole(F.concat(text, text)))
+        .when(event_id % 7 == 3, F.concat(good, F.lit(" "), good))
+        .otherwise(good)
+    )
+    return lines.select("event_id", line.alias(TEXT_LINE))
+
+
+def envelope_oddities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and errors out of joined, broken and wrongly typed envelopes."""
+    records = envelope.decode_envelopes(_odd_envelopes(spark, sf_dir), keep=["event_id"])
+    return records.select(
+        "event_id",
+        F.col("record_index").cast("int").alias("record_index"),
+        F.col("document_index").cast("int").alias("document_index"),
+        "decode_error",
+        F.col("data.time").alias("time"),
+    )
+
+
+def envelope_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return envelope.envelope_status(_odd_envelopes(spark, sf_dir), keep=["event_id"])
+
+
+def alerts_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the alert stream sets aside of odd envelopes."""
+    folder = scratch_folder(spark, "aside")
+    _odd_envelopes(spark, sf_dir).select(TEXT_LINE).write.text(f"{folder}/envelopes")
+    bad = undecoded_of(envelope.stream_envelopes(spark, f"{folder}/envelopes"))
+    write_digests(bad, f"{folder}/bad", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/bad").select("decode_error", "bad_payload")
 
 
 def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,7 +374,7 @@ def raw_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     refresh.run(spark, deployment)
     land_documents(documents.where(later), deployment.raw, SECOND_DAY)
     refresh.run(spark, deployment)
-    return read_gold(spark, deployment, gold.DAILY_WIDE)
+    return _all_gold(spark, deployment)
 
 
 QUERIES: dict[str, Query] = {
@@ -260,14 +386,20 @@ QUERIES: dict[str, Query] = {
         silver_events,
         silver_location_double,
         silver_local_day,
+        silver_ingestion,
+        raw_joined_objects,
+        silver_after_failed_load,
+        envelope_oddities,
+        envelope_reasons,
+        alerts_quarantine,
         *(_gold_query(name) for name in gold.GOLD_TABLES),
-        _ordered_gold_query("avg_temperature_daily"),
-        _ordered_gold_query("weather_condition_summary"),
+        *(_ordered_gold_query(name) for name in gold.GOLD_TABLES),
         gold_fused_daily,
         gold_from_rollup,
         alert_inputs,
         location_label,
         alert_rules,
+        alert_rules_custom,
         alert_digests,
         alert_summary,
         silver_append_twice,

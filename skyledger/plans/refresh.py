@@ -6,7 +6,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.operators.gold import (
@@ -14,21 +14,33 @@ from skyledger.operators.gold import (
     daily_tables,
     daily_wide_from_rollup,
     merge_rollups,
+    merge_weather_codes,
     rollup,
     weather_codes_from_rollup,
 )
 from skyledger.operators.silver import to_silver
-from skyledger.plans.storage import MERGED_LOADS, MERGED_ROLLUP, REFRESH_MARK, Deployment
+from skyledger.plans.storage import (
+    MERGED_ROLLUP,
+    REFRESH_MARK,
+    TOUCHED_DAYS,
+    WEATHER_CODES,
+    Deployment,
+    block_of,
+)
 from skyledger.sinks.tables import LoadMetrics, write_load
+from skyledger.sources.commits import if_there, marks_above, valid_loads
 from skyledger.sources.raw import RAW_GLOB, read_raw
-from skyledger.sources.schema import CORRUPT
-from skyledger.sources.tables import last_refresh
+from skyledger.sources.schema import CORRUPT, LOCAL_DAY, silver_schema
+from skyledger.sources.tables import (
+    is_half_written,
+    last_refresh,
+    renew_views,
+    rollups_of,
+    stored_gold,
+)
 from skyledger.streaming.ingest import ingest_available, start_ingest
 
 
-_LOADS = "load string"
-
-
 def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
     """All seven gold tables of a silver frame over one rollup, lazily.
 
@@ -39,67 +51,117 @@ def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
     return {**tables, "weather_condition_summary": weather_codes_from_rollup(states)}
 
 
+def _in_days(day: str, days: list) -> Column:
+    """A filter by partition values, so that only the files of these days are opened."""
+    known = [d for d in days if d is not None]
+    found = F.col(day).isin(known) if known else F.lit(False)
+    return found | F.col(day).isNull() if len(known) < len(days) else found
+
+
+def _new_states(
+    spark: SparkSession, deployment: Deployment, loads: DataFrame, blocks: range
+) -> DataFrame:
+    """Rollup rows of the loads, which lie in the blocks."""
+    frames = [
+        frame.withColumn("block", F.lit(block))
+        for block in blocks
+        if (frame := if_there(spark, lambda: spark.read.parquet(deployment.rollups(block))))  # noqa: B023
+        is not None
+    ]
+    if not frames:
+        empty = spark.createDataFrame([], silver_schema())
+        return rollup(empty)
+    states = frames[0]
+    for frame in frames[1:]:
+        states = states.unionByName(frame)
+    return rollups_of(states, loads).drop("block")
+
+
 def refresh_gold(spark: SparkSession, deployment: Deployment, from_all_loads: bool = False) -> int:
-    """Rebuild every gold table into the idle slot, then make that slot current.
+    """Bring the gold tables up to date in the idle slot, then make that slot current.
 
-    The slot also keeps the merged rollup and the loads in it, so the next refresh reads that rollup
-    and the loads since; ``from_all_loads`` starts over from the rollups of all loads. From the
-    merged rollup come the wide daily table and the weather codes, and the six daily tables are
-    projections of the wide one.
+    Only days of loads that were committed since the last refresh are merged and written, with the
+    days of the refresh before, which the idle slot has not seen. Other days of the slot stay as
+    they are, and the weather codes are the counts so far plus those of the new loads. Without a new
+    load nothing is written. ``from_all_loads`` starts over; so does a refresh after loads were
+    superseded, and the refresh after such a one writes the other slot whole.
 
     Writing the slot's mark comes last and switches all tables at once; a refresh that dies half-way
-    leaves the current slot alone. There must be one refresh at a time; a reader has until the end
-    of the next refresh to finish with the slot it opened.
+    leaves the current slot alone, and the next one writes the same days again. There must be one
+    refresh at a time; a reader has until the end of the next refresh to finish with the slot it
+    opened. The days touched pass through the driver; they are as many as the calendar has.
     """
     newest = last_refresh(spark, deployment)
-    number, slot = (0, 0) if newest is None else (newest[0] + 1, 1 - newest[1])
-
-    def replace(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        def write(name: str) -> DataFrame:
-            folder = deployment.gold(slot, name)
-            tables[name].write.mode("overwrite").parquet(folder)
-            return spark.read.schema(tables[name].schema).parquet(folder)
-
-        # Independent small jobs: none of them fills a cluster, so they share it.
-        with ThreadPoolExecutor(len(tables)) as pool:
-            written = pool.map(inheritable_thread_target(spark)(write), tables)
-            return dict(zip(tables, written))
-
-    # One frame, hence one file listing, decides which loads are new and supplies their rows.
-    loads = spark.read.parquet(deployment.rollup)
-    base, known = None, []
-    if newest is not None and not from_all_loads:
-        base = spark.read.parquet(deployment.gold(newest[1], MERGED_ROLLUP))
-        ids_so_far = spark.read.schema(_LOADS).parquet(deployment.gold(newest[1], MERGED_LOADS))
-        known = _load_ids(ids_so_far)
-    fresh = _load_ids(loads.where(~F.col("load").isin(known)))
-    states = loads.where(F.col("load").isin(fresh)).drop("load")
-    if base is not None:
-        states = base.unionByName(states)
-    ids = spark.createDataFrame([(load,) for load in known + fresh], _LOADS)
-    merged = replace({MERGED_ROLLUP: merge_rollups(states), MERGED_LOADS: ids.coalesce(1)})
-    tables = replace(
-        {
-            DAILY_WIDE: daily_wide_from_rollup(merged[MERGED_ROLLUP]),
-            "weather_condition_summary": weather_codes_from_rollup(merged[MERGED_ROLLUP]),
-        }
-    )
-    replace(daily_tables(tables[DAILY_WIDE]))
-
-    mark = spark.range(1).select(
-        F.lit(number).cast("bigint").alias("refresh"),
-        F.lit(slot).alias("slot"),
-        F.current_timestamp().alias("refreshed_at"),
-    )
-    mark.coalesce(1).write.mode("overwrite").json(deployment.gold(slot, REFRESH_MARK))
+    marks = marks_above(spark, deployment, -1 if newest is None else newest["merged"])
+    seen = marks.agg(
+        F.max("number").alias("number"), F.count("supersedes").alias("superseding")
+    ).first()
+    if newest is not None and seen["number"] is None and not from_all_loads:
+        return newest["refresh"]
+    rebuild = newest is None or from_all_loads or seen["superseding"] > 0
+    merged = newest["merged"] if seen["number"] is None else seen["number"]
+    merged = -1 if merged is None else merged
+    number, slot = (0, 0) if newest is None else (newest["refresh"] + 1, 1 - newest["slot"])
+    above = -1
+    if rebuild:
+        marks = marks_above(spark, deployment, above)
+    else:
+        above = newest["merged"]
+    blocks = range(block_of(max(above, 0)), block_of(max(merged, 0)) + 1)
+    states = _new_states(spark, deployment, valid_loads(marks), blocks)
+    touched = [row[0] for row in states.select(LOCAL_DAY).distinct().collect()]
+    whole = rebuild or newest["rebuilt"] or is_half_written(spark, deployment, slot)
+
+    def current(table: str) -> DataFrame:
+        return spark.read.parquet(deployment.gold(newest["slot"], table))
+
+    def mark(refresh: int) -> None:
+        row = spark.range(1).select(
+            F.lit(refresh).cast("bigint").alias("refresh"),
+            F.lit(slot).alias("slot"),
+            F.lit(merged).cast("bigint").alias("merged"),
+            F.lit(rebuild).alias("rebuilt"),
+            F.current_timestamp().alias("refreshed_at"),
+        )
+        row.coalesce(1).write.mode("overwrite").json(deployment.gold(slot, REFRESH_MARK))
+
+    def write(name: str, table: DataFrame, day: str | None = None) -> DataFrame:
+        folder = deployment.gold(slot, name)
+        writer = table.write.mode("overwrite")
+        if day is not None:
+            mode = "static" if whole else "dynamic"
+            writer = writer.option("partitionOverwriteMode", mode).partitionBy(day)
+        writer.parquet(folder)
+        return spark.read.schema(table.schema).parquet(folder)
+
+    if whole:
+        mark(-1)
+    codes = weather_codes_from_rollup(states)
+    days = touched
+    if not rebuild:
+        codes = merge_weather_codes(current(WEATHER_CODES).unionByName(codes))
+        before = stored_gold(spark, deployment, newest["slot"], MERGED_ROLLUP)
+        if not whole:
+            earlier = [row[0] for row in current(TOUCHED_DAYS).collect()]
+            days = list({*touched, *earlier})
+            before = before.where(_in_days(LOCAL_DAY, days))
+        states = before.unionByName(states)
+    by_day = merge_rollups(states).hint("rebalance", LOCAL_DAY)
+    stored = write(MERGED_ROLLUP, by_day, LOCAL_DAY)
+    if not whole:
+        stored = stored.where(_in_days(LOCAL_DAY, days))
+    wide = daily_wide_from_rollup(stored).hint("rebalance", "date")
+    touched_rows = spark.createDataFrame([(day,) for day in touched], f"{LOCAL_DAY} date")
+    # Independent small jobs: none of them fills a cluster, so they share it.
+    work = [(DAILY_WIDE, wide, "date"), (WEATHER_CODES, codes, None), (TOUCHED_DAYS, touched_rows, None)]
+    with ThreadPoolExecutor(len(work)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(lambda item: write(*item)), work))
+
+    mark(number)
+    renew_views(spark, deployment)
     return number
 
 
-def _load_ids(rows: DataFrame) -> list[str]:
-    """One short id per load: fewer than the files of that table, which the driver lists anyway."""
-    return [row["load"] for row in rows.select("load").distinct().collect()]
-
-
 def append_all(
     spark: SparkSession,
     deployment: Deployment,
@@ -107,7 +169,7 @@ def append_all(
     glob: str = RAW_GLOB,
     recursive: bool = False,
     location_mode: str = "string",
-    gather_days: bool = True,
+    gather_days: bool = False,
 ) -> LoadMetrics:
     """Read the whole raw zone and append it to silver, also what earlier runs already appended.
 

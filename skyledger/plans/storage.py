@@ -2,21 +2,25 @@
 
 A deployment is one folder on shared storage::
 
-    raw/YYYY/MM/DD/        landed documents, one JSON object per line
+    raw/YYYY/MM/DD/        landed documents, JSON objects
     silver/load=<id>/status=<ok|corrupt>/datetime_brasil=<day>/
-    rollup/load=<id>/      mergeable gold states of that load
-    gold/slot=<0|1>/<table>/, merged_rollup/, merged_loads/, refresh/
+    rollup/block=<b>/load=<id>/      mergeable gold states of that load
+    commits/block=<b>/     a numbered mark per committed load
+    gold/slot=<0|1>/<merged_rollup|daily_wide>/<day partitions>, weather_codes/, touched/, refresh/
     checkpoints/
 
-Everything a load writes lies under its own ``load`` folder and is overwritten as a whole, so a load
-that is repeated after a failure leaves no duplicate. Load ids of the stream count the batches of its
-checkpoint: the checkpoint belongs to the deployment and must not be thrown away on its own.
+A load counts from the moment its mark is written, which is the last thing it does; what a failed
+load left behind has no mark and is read by nobody. Marks are numbered in order, a hundred to a
+block, and so are the folders of the rollups: a refresh reads the blocks from the last merged number
+on, however many loads there have been.
 
 Of the two gold slots the one with the higher number in its ``refresh`` mark is current.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -25,8 +29,10 @@ from pyspark.sql import SparkSession
 
 
 MERGED_ROLLUP = "merged_rollup"
-MERGED_LOADS = "merged_loads"
+WEATHER_CODES = "weather_codes"
+TOUCHED_DAYS = "touched"
 REFRESH_MARK = "refresh"
+MARKS_PER_BLOCK = 100
 
 
 @dataclass(frozen=True)
@@ -48,10 +54,20 @@ class Deployment:
     def rollup(self) -> str:
         return self._at("rollup")
 
+    @property
+    def all_commits(self) -> str:
+        return self._at("commits/block=*")
+
     @property
     def refresh_marks(self) -> str:
         return self._at(f"gold/slot=*/{REFRESH_MARK}")
 
+    def commits(self, block: int) -> str:
+        return self._at(f"commits/block={block}")
+
+    def rollups(self, block: int) -> str:
+        return self._at(f"rollup/block={block}")
+
     def gold(self, slot: int, table: str) -> str:
         return self._at(f"gold/slot={slot}/{table}")
 
@@ -63,14 +79,27 @@ def load_folder(table: str, load_id: str) -> str:
     return f"{table}/load={load_id}"
 
 
+def block_of(number: int) -> int:
+    return number // MARKS_PER_BLOCK
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which every executor can reach.
+    """A new folder below ``spark.checkpoint.dir``, which every executor can reach, removed when
+    the session's JVM ends.
 
-    Only a local session without that setting gets a temporary folder of this machine.
+    Only a local session without that setting, as in tests, gets a temporary folder of this machine,
+    which is set for the session, so that all of it lies in one place.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/skyledger-{label}-{uuid.uuid4().hex}"
+        shared = tempfile.mkdtemp(prefix="skyledger-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", shared)
+    folder = f"{shared.rstrip('/')}/skyledger-{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder

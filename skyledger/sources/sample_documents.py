@@ -67,13 +67,6 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def spread(events: DataFrame) -> DataFrame:
-    """Over all cores, when the table has fewer splits than that: one small file is one split,
-    which would leave all of the JSON work to one task. A large table stays as it is."""
-    cores = events.sparkSession.sparkContext.defaultParallelism
-    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
-
-
 def weather_fields(events: DataFrame) -> DataFrame:
     """``event_id`` plus the fields of one weather document per event, as flat columns."""
     return events.selectExpr(

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-
-from skyledger.operators.gold import DAILY_WIDE, GOLD_TABLES, order_for_reading
-from skyledger.plans.storage import Deployment
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+
+from skyledger.operators.gold import (
+    DAILY_WIDE,
+    GOLD_TABLES,
+    daily_columns,
+    daily_wide,
+    order_for_reading,
+    rollup,
+)
+from skyledger.plans.storage import REFRESH_MARK, WEATHER_CODES, Deployment, load_folder
+from skyledger.sources.commits import committed_loads, if_there
 from skyledger.sources.schema import (
     CORRUPT,
     INGESTION_COLUMNS,
@@ -17,38 +24,58 @@ from skyledger.sources.schema import (
     silver_schema,
 )
 
-_REFRESH_SCHEMA = "refresh bigint, slot int, refreshed_at timestamp"
+_REFRESH_SCHEMA = (
+    "refresh bigint, slot int, merged bigint, rebuilt boolean, refreshed_at timestamp"
+)
+_LOAD = "load"
 
 
 def _silver_files(
-    spark: SparkSession, path: str, location_mode: str, schema: T.StructType | None
+    spark: SparkSession, path: str, location_mode: str, schema: T.StructType | None, *more: str
 ) -> DataFrame:
     columns = (schema or silver_schema(location_mode)).fields
-    partition = T.StructField(STATUS, T.StringType())
+    partitions = [T.StructField(name, T.StringType()) for name in (*more, STATUS)]
     corrupt = T.StructField(CORRUPT, T.StringType())
-    return spark.read.schema(T.StructType([*columns, corrupt, partition])).parquet(path)
+    return spark.read.schema(T.StructType([*columns, corrupt, *partitions])).parquet(path)
+
+
+def _committed_files(
+    spark: SparkSession, deployment: Deployment, location_mode: str, status: str
+) -> DataFrame:
+    """Silver files of the loads that count. The loads join on a partition column, so files of
+    others are not opened."""
+    loads = committed_loads(spark, deployment).select(_LOAD)
+    files = if_there(
+        spark, lambda: _silver_files(spark, deployment.silver, location_mode, None, _LOAD)
+    )
+    if files is None:
+        schema = T.StructType([*silver_schema(location_mode), T.StructField(CORRUPT, T.StringType())])
+        return spark.createDataFrame([], schema)
+    return files.where(F.col(STATUS) == status).join(loads, _LOAD, "left_semi")
 
 
 def read_silver(
-    spark: SparkSession,
-    path: str,
-    location_mode: str = "string",
-    schema: T.StructType | None = None,
+    spark: SparkSession, deployment: Deployment, location_mode: str = "string"
 ) -> DataFrame:
-    """The 28 silver columns of all loads below ``path``; filters on the local day prune files."""
-    files = _silver_files(spark, path, location_mode, schema)
-    return files.where(F.col(STATUS) == STATUS_OK).select(*SILVER_COLUMNS)
+    """The 28 silver columns of all committed loads; filters on the local day prune files."""
+    return _committed_files(spark, deployment, location_mode, STATUS_OK).select(*SILVER_COLUMNS)
 
 
 def read_quarantine(
-    spark: SparkSession,
-    path: str,
-    location_mode: str = "string",
-    schema: T.StructType | None = None,
+    spark: SparkSession, deployment: Deployment, location_mode: str = "string"
 ) -> DataFrame:
-    """Lines of all loads below ``path`` that could not be read, and when they came in."""
-    files = _silver_files(spark, path, location_mode, schema)
-    return files.where(F.col(STATUS) == STATUS_CORRUPT).select(CORRUPT, *INGESTION_COLUMNS)
+    """Pieces of all committed loads that could not be read, and when they came in."""
+    files = _committed_files(spark, deployment, location_mode, STATUS_CORRUPT)
+    return files.select(CORRUPT, *INGESTION_COLUMNS)
+
+
+def read_load(
+    spark: SparkSession, deployment: Deployment, load_id: str, schema: T.StructType, status: str
+) -> DataFrame:
+    """Rows of one load, committed or not, with ``_corrupt_record``."""
+    folder = load_folder(deployment.silver, load_id)
+    files = _silver_files(spark, folder, "string", schema)
+    return files.where(F.col(STATUS) == status).drop(STATUS)
 
 
 def read_silver_jdbc(
@@ -63,49 +90,106 @@ def read_silver_jdbc(
 
 
 def read_rollup(spark: SparkSession, deployment: Deployment) -> DataFrame:
-    return spark.read.parquet(deployment.rollup).drop("load")
+    """Rollup rows of all committed loads."""
+    loads = committed_loads(spark, deployment)
+    return rollups_of(spark.read.parquet(f"{deployment.root}/rollup"), loads).drop("block")
+
+
+def rollups_of(rollups: DataFrame, loads: DataFrame) -> DataFrame:
+    """Rows of the loads; a load that failed in an earlier block left rows that are none of its."""
+    typed = rollups.withColumn("block", F.col("block").cast("bigint"))
+    typed = typed.withColumn(_LOAD, F.col(_LOAD).cast("string"))
+    return typed.join(loads, [_LOAD, "block"], "left_semi").drop(_LOAD)
+
+
+def last_refresh(spark: SparkSession, deployment: Deployment) -> Row | None:
+    """The mark of the last finished gold refresh: ``refresh``, ``slot``, ``merged`` (the number up
+    to which loads are in it) and ``rebuilt``."""
+    finished = if_there(
+        spark, lambda: spark.read.schema(_REFRESH_SCHEMA).json(deployment.refresh_marks)
+    )
+    if finished is None:
+        return None
+    newest = F.max(F.struct("refresh", "slot", "merged", "rebuilt")).alias("newest")
+    return finished.where("refresh >= 0").agg(newest).first()["newest"]
 
 
-def last_refresh(spark: SparkSession, deployment: Deployment) -> tuple[int, int] | None:
-    """Number and slot of the last finished gold refresh."""
-    try:
-        finished = spark.read.schema(_REFRESH_SCHEMA).json(deployment.refresh_marks)
-        newest = finished.agg(F.max(F.struct("refresh", "slot")).alias("newest")).first()["newest"]
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return None if newest is None else (newest["refresh"], newest["slot"])
+def is_half_written(spark: SparkSession, deployment: Deployment, slot: int) -> bool:
+    """Whether a refresh began to replace the whole slot and did not finish."""
+    marks = if_there(
+        spark,
+        lambda: spark.read.schema(_REFRESH_SCHEMA).json(deployment.gold(slot, REFRESH_MARK)),
+    )
+    return marks is not None and not marks.where("refresh < 0").isEmpty()
 
 
 def _current_slot(spark: SparkSession, deployment: Deployment) -> int:
     newest = last_refresh(spark, deployment)
     if newest is None:
         raise ValueError(f"no finished gold refresh in {deployment.root}")
-    return newest[1]
+    return newest["slot"]
+
+
+def stored_gold(spark: SparkSession, deployment: Deployment, slot: int, table: str) -> DataFrame:
+    """``daily_wide`` or the merged rollup of a slot, also without any row.
+
+    The type of the location name, which depends on the location mode, is that of the weather codes,
+    a table that always has a file.
+    """
+    codes = spark.read.parquet(deployment.gold(slot, WEATHER_CODES)).schema
+    is_double = isinstance(codes["location_name"].dataType, T.DoubleType)
+    silver = spark.createDataFrame([], silver_schema("double" if is_double else "string"))
+    empty = daily_wide(silver) if table == DAILY_WIDE else rollup(silver)
+    return spark.read.schema(empty.schema).parquet(deployment.gold(slot, table))
+
+
+def _gold(spark: SparkSession, deployment: Deployment, slot: int, name: str) -> DataFrame:
+    if name == "weather_condition_summary":
+        return spark.read.parquet(deployment.gold(slot, WEATHER_CODES))
+    wide = stored_gold(spark, deployment, slot, DAILY_WIDE)
+    return wide.select(*daily_columns(name))
 
 
 def read_gold(
     spark: SparkSession, deployment: Deployment, name: str, ordered: bool = False
 ) -> DataFrame:
-    """A gold table, or ``daily_wide``, as of the last finished refresh."""
+    """A gold table, or ``daily_wide``, as of the last finished refresh.
+
+    The daily tables are projections of one stored table, partitioned by day: a filter on the date
+    prunes files.
+    """
     if name not in GOLD_TABLES and name != DAILY_WIDE:
         raise ValueError(f"no such gold table: {name}")
-    table = spark.read.parquet(deployment.gold(_current_slot(spark, deployment), name))
+    table = _gold(spark, deployment, _current_slot(spark, deployment), name)
     return order_for_reading(table, name) if ordered else table
 
 
 def read_all_gold(spark: SparkSession, deployment: Deployment) -> dict[str, DataFrame]:
     """The seven gold tables, all of the same refresh."""
     slot = _current_slot(spark, deployment)
-    return {name: spark.read.parquet(deployment.gold(slot, name)) for name in GOLD_TABLES}
+    return {name: _gold(spark, deployment, slot, name) for name in GOLD_TABLES}
+
+
+#: Deployments whose views a session holds, with the location mode.
+_viewed: dict[tuple[str, str], str] = {}
 
 
 def register_views(
     spark: SparkSession, deployment: Deployment, location_mode: str = "string"
 ) -> None:
-    """Temporary views ``silver_events`` and one per gold table, for SQL and reports."""
-    silver = read_silver(spark, deployment.silver, location_mode)
+    """Temporary views ``silver_events`` and one per gold table, for SQL and reports.
+
+    Every refresh of the deployment in this application registers them anew.
+    """
+    _viewed[spark.sparkContext.applicationId, deployment.root] = location_mode
+    silver = read_silver(spark, deployment, location_mode)
     silver.createOrReplaceTempView("silver_events")
     for name, table in read_all_gold(spark, deployment).items():
         table.createOrReplaceTempView(name)
+
+
+def renew_views(spark: SparkSession, deployment: Deployment) -> None:
+    """Registers the views of the deployment again, if there are any."""
+    mode = _viewed.get((spark.sparkContext.applicationId, deployment.root))
+    if mode is not None:
+        register_views(spark, deployment, mode)

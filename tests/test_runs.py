@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import json
-import tempfile
 from datetime import date
-from unittest.mock import patch
+from unittest.mock import Mock, patch
 
 import pytest
 from pyspark.sql import DataFrameWriter, functions as F
@@ -17,6 +16,8 @@ from skyledger.operators.silver import flatten, to_silver
 from skyledger.plans import refresh
 from skyledger.plans.storage import Deployment, load_folder, scratch_folder
 from skyledger.sinks import tables as sinks
+from skyledger.sources import commits
+from skyledger.sources.commits import committed_loads
 from skyledger.sources.envelope import read_envelopes, stream_envelopes, to_envelopes
 from skyledger.sources.raw import read_raw, well_formed
 from skyledger.sources.sample_documents import events_table, weather_documents
@@ -57,6 +58,16 @@ def rows(frame):
     return sorted(map(tuple, frame.collect()), key=repr)
 
 
+def number_and_slot(spark, deployment):
+    newest = last_refresh(spark, deployment)
+    return newest["refresh"], newest["slot"]
+
+
+def gold_rows(spark, deployment):
+    table = read_gold(spark, deployment, "weather_condition_summary")
+    return table.agg(F.sum("weather_code_count")).first()[0] or 0
+
+
 def test_landing_round_trip(spark, deployment, documents):
     sinks.land_documents(documents, deployment.raw, DAY)
     back = well_formed(read_raw(spark, deployment.raw))
@@ -72,8 +83,8 @@ def test_full_appends_repeat_records_and_incremental_runs_do_not(spark, tmp_path
         refresh.run(spark, full, mode="append_full")
         refresh.run(spark, once, raw=full.raw)
     n = documents.count()
-    assert read_silver(spark, full.silver).count() == 2 * n
-    assert read_silver(spark, once.silver).count() == n
+    assert read_silver(spark, full).count() == 2 * n
+    assert read_silver(spark, once).count() == n
 
     def codes(deployment):
         table = read_gold(spark, deployment, "weather_condition_summary")
@@ -92,7 +103,7 @@ def test_gold_equals_tables_built_from_silver(spark, deployment, documents):
     refresh.run(spark, deployment)
     sinks.land_documents(documents.where("event_id % 2 = 1"), deployment.raw, date(2025, 4, 11))
     refresh.run(spark, deployment, gather_days=False)
-    silver = read_silver(spark, deployment.silver)
+    silver = read_silver(spark, deployment)
     for name in gold.GOLD_TABLES:
         stored = read_gold(spark, deployment, name)
         assert rows(stored) == rows(gold.gold_table(silver, name)), name
@@ -103,30 +114,36 @@ def test_refreshes_alternate_slots_and_survive_a_crash(spark, deployment, docume
         read_gold(spark, deployment, "avg_temperature_daily")
     sinks.land_documents(documents, deployment.raw, DAY)
     refresh.run(spark, deployment)
-    assert last_refresh(spark, deployment) == (0, 0)
+    assert number_and_slot(spark, deployment) == (0, 0)
     before = rows(read_gold(spark, deployment, "avg_temperature_daily"))
-    with patch.object(refresh, "daily_tables", side_effect=RuntimeError("lost")):
-        with pytest.raises(RuntimeError):
-            refresh.refresh_gold(spark, deployment)
-    assert last_refresh(spark, deployment) == (0, 0)
-    assert rows(read_gold(spark, deployment, "avg_temperature_daily")) == before
+    for lost in ("daily_wide_from_rollup", "merge_rollups"):
+        with patch.object(refresh, lost, side_effect=RuntimeError("lost")):
+            with pytest.raises(RuntimeError):
+                refresh.refresh_gold(spark, deployment, from_all_loads=True)
+        assert number_and_slot(spark, deployment) == (0, 0)
+        assert rows(read_gold(spark, deployment, "avg_temperature_daily")) == before
+    assert refresh.refresh_gold(spark, deployment) == 0  # nothing new
+    refresh.append_all(spark, deployment)
     assert refresh.refresh_gold(spark, deployment) == 1
-    assert last_refresh(spark, deployment) == (1, 1)
+    assert number_and_slot(spark, deployment) == (1, 1)
     assert rows(read_gold(spark, deployment, "avg_temperature_daily")) == before
     with pytest.raises(ValueError):
         read_gold(spark, deployment, "no_such_table")
 
 
 def test_a_refresh_reads_only_the_loads_since_the_last_one(spark, deployment, documents):
+    first_load = None
     for part in range(3):
         landed = documents.where(f"event_id % 3 = {part}")
         sinks.land_documents(landed, deployment.raw, date(2025, 4, 10 + part))
         refresh.run(spark, deployment)
-        first_load = load_folder(deployment.rollup, "stream-000000000")
+        if first_load is None:
+            first = committed_loads(spark, deployment).first()
+            first_load = load_folder(deployment.rollups(first.block), first.load)
         # Already merged: what becomes of it does not matter to the next refresh.
         spark.read.parquet(first_load).limit(0).write.parquet(f"{deployment.root}/empty-{part}")
         spark.read.parquet(f"{deployment.root}/empty-{part}").write.mode("overwrite").parquet(first_load)
-    silver = read_silver(spark, deployment.silver)
+    silver = read_silver(spark, deployment)
     for name in gold.GOLD_TABLES:
         stored = read_gold(spark, deployment, name)
         assert rows(stored) == rows(gold.gold_table(silver, name)), name
@@ -136,9 +153,10 @@ def test_refresh_from_all_loads(spark, deployment, documents):
     sinks.land_documents(documents, deployment.raw, DAY)
     refresh.run(spark, deployment)
     before = rows(read_gold(spark, deployment, "weather_condition_summary"))
-    refresh.refresh_gold(spark, deployment)
+    assert refresh.refresh_gold(spark, deployment) == 0
     refresh.refresh_gold(spark, deployment, from_all_loads=True)
-    assert last_refresh(spark, deployment) == (2, 0)
+    refresh.refresh_gold(spark, deployment, from_all_loads=True)
+    assert number_and_slot(spark, deployment) == (2, 0)
     assert rows(read_gold(spark, deployment, "weather_condition_summary")) == before
 
 
@@ -147,9 +165,9 @@ def test_a_batch_that_failed_half_way_is_not_counted_twice(spark, deployment, do
     with patch.object(sinks, "rollup", side_effect=RuntimeError("lost")):
         with pytest.raises(Exception):
             ingest.ingest_available(spark, deployment)
-    assert read_silver(spark, deployment.silver).count() == documents.count()
+    assert read_silver(spark, deployment).count() == 0
     ingest.ingest_available(spark, deployment)
-    assert read_silver(spark, deployment.silver).count() == documents.count()
+    assert read_silver(spark, deployment).count() == documents.count()
     total = read_rollup(spark, deployment).agg(F.sum("group__rows")).first()[0]
     assert total == documents.count()
 
@@ -170,12 +188,12 @@ def test_periodic_runs(spark, deployment, documents):
     query = refresh.run_every(spark, deployment, every="1 second")
     try:
         query.processAllAvailable()
-        assert last_refresh(spark, deployment) == (0, 0)
+        assert number_and_slot(spark, deployment) == (0, 0)
         sinks.land_documents(documents.where("event_id % 2 = 1"), deployment.raw, DAY)
         query.processAllAvailable()
     finally:
         query.stop()
-    assert last_refresh(spark, deployment) == (1, 1)
+    assert number_and_slot(spark, deployment) == (1, 1)
     table = read_gold(spark, deployment, "weather_condition_summary")
     assert table.agg(F.sum("weather_code_count")).first()[0] == documents.count()
 
@@ -199,16 +217,16 @@ def test_corrupt_lines_are_counted_and_kept(spark, deployment, tmp_path):
         refresh.append_all(spark, deployment, gather_days=False),
     ):
         assert metrics == sinks.LoadMetrics(rows_read=4, rows_corrupt=2, rows_written=2)
-    kept = read_quarantine(spark, deployment.silver).collect()
+    kept = read_quarantine(spark, deployment).collect()
     assert all(r.ingestion_at is not None for r in kept)
     assert sorted(r[0] for r in kept) == sorted([good[:40], "nonsense"] * 2)
-    assert read_silver(spark, deployment.silver).count() == 4
+    assert read_silver(spark, deployment).count() == 4
 
 
 def test_only_corrupt_lines(spark, deployment, tmp_path):
     write_lines(tmp_path / "deployment/raw/2025/04/10", "f.json", "nonsense")
     refresh.run(spark, deployment)
-    assert read_silver(spark, deployment.silver).count() == 0
+    assert read_silver(spark, deployment).count() == 0
     assert read_gold(spark, deployment, "avg_temperature_daily").count() == 0
 
 
@@ -225,7 +243,7 @@ def test_rows_without_a_day_are_kept(spark, deployment):
     docs = documents_frame(spark, document(time="never", temperature=3), document(temperature=4))
     sinks.land_documents(docs, deployment.raw, DAY)
     refresh.run(spark, deployment)
-    assert {r.datetime_brasil for r in read_silver(spark, deployment.silver).collect()} == {None, DAY}
+    assert {r.datetime_brasil for r in read_silver(spark, deployment).collect()} == {None, DAY}
     table = read_gold(spark, deployment, "avg_temperature_daily", ordered=True)
     assert [(r.date, r.avg_temperature) for r in table.collect()] == [(None, 3.0), (DAY, 4.0)]
 
@@ -233,7 +251,7 @@ def test_rows_without_a_day_are_kept(spark, deployment):
 def test_location_mode_double_all_the_way(spark, deployment, documents):
     sinks.land_documents(documents, deployment.raw, DAY)
     refresh.run(spark, deployment, location_mode="double")
-    silver = read_silver(spark, deployment.silver, location_mode="double")
+    silver = read_silver(spark, deployment, location_mode="double")
     assert silver.where("location_name is not null").count() == 0
     names = read_gold(spark, deployment, "avg_temperature_daily").select("location_name").distinct()
     assert [r[0] for r in names.collect()] == [None]
@@ -242,10 +260,133 @@ def test_location_mode_double_all_the_way(spark, deployment, documents):
 def test_a_day_filter_prunes_silver_files(spark, deployment, documents):
     sinks.land_documents(documents, deployment.raw, DAY)
     refresh.run(spark, deployment)
-    one_day = read_silver(spark, deployment.silver).where("datetime_brasil = date'2024-01-05'")
+    one_day = read_silver(spark, deployment).where("datetime_brasil = date'2024-01-05'")
     plan = plan_text(one_day.select("temperature"))
-    assert "datetime_brasil" in plan.split("PartitionFilters: ")[1].split("\n")[0]
-    assert "ReadSchema: struct<temperature:double>" in plan
+    scan = next(s for s in plan.split("Scan parquet") if "temperature:double" in s)
+    assert "datetime_brasil" in scan.split("PartitionFilters: ")[1].split("\n")[0]
+    assert "ReadSchema: struct<temperature:double>" in scan
+
+
+def test_a_lost_checkpoint_is_noticed(spark, tmp_path, documents):
+    first = Deployment(str(tmp_path / "d"))
+    n = documents.count()
+    for part in range(2):
+        landed = documents.where(f"event_id % 2 = {part}")
+        sinks.land_documents(landed, first.raw, date(2025, 4, 10 + part))
+        refresh.run(spark, first)
+    (tmp_path / "d/checkpoints").rename(tmp_path / "moved-aside")
+    with pytest.raises(Exception, match="another ingest stream"):
+        refresh.run(spark, first)
+    assert (read_silver(spark, first).count(), gold_rows(spark, first)) == (n, n)
+    (tmp_path / "d/checkpoints").rename(tmp_path / "refused")
+    refresh.run(spark, first, supersede=True)
+    assert (read_silver(spark, first).count(), gold_rows(spark, first)) == (n, n)
+    refresh.append_all(spark, first)
+    refresh.refresh_gold(spark, first)
+    assert (read_silver(spark, first).count(), gold_rows(spark, first)) == (2 * n, 2 * n)
+    silver = read_silver(spark, first)
+    for name in gold.GOLD_TABLES:
+        assert rows(read_gold(spark, first, name)) == rows(gold.gold_table(silver, name)), name
+
+
+def test_a_failed_append_is_not_read(spark, deployment, documents):
+    sinks.land_documents(documents, deployment.raw, DAY)
+    for lost in ("rollup", "_mark"):
+        with patch.object(sinks, lost, side_effect=RuntimeError("lost")):
+            with pytest.raises(RuntimeError):
+                refresh.append_all(spark, deployment)
+    assert read_silver(spark, deployment).count() == 0
+    refresh.run(spark, deployment, mode="append_full")
+    n = documents.count()
+    assert (read_silver(spark, deployment).count(), gold_rows(spark, deployment)) == (n, n)
+    total = read_rollup(spark, deployment).agg(F.sum("group__rows")).first()[0]
+    assert total == n
+
+
+def test_half_a_rollup_is_not_merged(spark, deployment, documents):
+    sinks.land_documents(documents.where("event_id % 2 = 0"), deployment.raw, DAY)
+    refresh.run(spark, deployment)
+    sinks.land_documents(documents.where("event_id % 2 = 1"), deployment.raw, DAY)
+    with patch.object(sinks, "_mark", side_effect=RuntimeError("lost")):
+        with pytest.raises(Exception):
+            ingest.ingest_available(spark, deployment)
+    refresh.refresh_gold(spark, deployment)
+    assert gold_rows(spark, deployment) == documents.where("event_id % 2 = 0").count()
+    refresh.run(spark, deployment)
+    assert gold_rows(spark, deployment) == documents.count()
+
+
+def test_a_repeated_batch_is_one_load(spark, deployment, documents):
+    sinks.land_documents(documents, deployment.raw, DAY)
+    with pytest.raises(Exception, match="lost"):
+        ingest.start_ingest(
+            spark, deployment, after_load=Mock(side_effect=RuntimeError("lost"))
+        ).awaitTermination()
+    refresh.refresh_gold(spark, deployment)
+    seen = []
+    ingest.start_ingest(spark, deployment, report=seen.append).awaitTermination()
+    n = documents.count()
+    assert seen == [sinks.LoadMetrics(n, 0, n)]
+    assert refresh.refresh_gold(spark, deployment) == 0
+    assert gold_rows(spark, deployment) == n
+    assert committed_loads(spark, deployment).count() == 1
+
+
+def day_files(tmp_path, slot):
+    wide = tmp_path / f"deployment/gold/slot={slot}/daily_wide"
+    return {p.name: p.stat().st_mtime_ns for d in wide.glob("date=*") for p in d.glob("part-*")}
+
+
+def test_a_load_of_one_day_rewrites_only_that_day(spark, deployment, documents, tmp_path):
+    sinks.land_documents(documents, deployment.raw, DAY)
+    refresh.run(spark, deployment)
+    day = documents.first()["data"]["time"][:10]
+    hour = "substring(data.time, 12, 2) between '06' and '23'"
+    one_day = documents.where(f"data.time like '{day}%' and {hour}")
+    assert one_day.count() > 0
+    for _ in range(3):  # the first one writes the other slot whole
+        before = {slot: day_files(tmp_path, slot) for slot in (0, 1)}
+        sinks.land_documents(one_day, deployment.raw, DAY)
+        refresh.run(spark, deployment)
+    slot = last_refresh(spark, deployment)["slot"]
+    after = day_files(tmp_path, slot)
+    new = set(after) - set(before[slot])
+    assert 0 < len(new) < len(after)
+    days = {d.name for d in (tmp_path / f"deployment/gold/slot={slot}/daily_wide").glob("date=*")
+            for p in d.glob("part-*") if p.name in new}
+    assert days == {f"date={day}"}
+    silver = read_silver(spark, deployment)
+    for name in gold.GOLD_TABLES:
+        assert rows(read_gold(spark, deployment, name)) == rows(gold.gold_table(silver, name)), name
+
+
+def test_bookkeeping_does_not_grow_with_the_loads(spark, deployment, documents):
+    sinks.land_documents(documents, deployment.raw, DAY)
+    refresh.run(spark, deployment)
+    for n in range(1, 350, 70):  # marks of loads without a rollup, over several blocks
+        for number in (n, n + 69):
+            sinks._mark(spark, deployment, number, f"run-{number}", None)
+    assert refresh.refresh_gold(spark, deployment) == 1
+    assert last_refresh(spark, deployment)["merged"] == 350
+    with patch.object(refresh, "rollups_of", side_effect=AssertionError("read")):
+        assert refresh.refresh_gold(spark, deployment) == 1
+    read = []
+    with patch.object(commits, "_marks", side_effect=lambda s, path: read.append(path)):
+        refresh.refresh_gold(spark, deployment)
+    assert read == [deployment.commits(3)]  # the block of the last merged number, no other
+
+
+def test_views_follow_refreshes(spark, deployment, documents):
+    sinks.land_documents(documents, deployment.raw, DAY)
+    refresh.run(spark, deployment)
+    register_views(spark, deployment)
+    n = documents.count()
+    for k in range(2, 5):
+        refresh.run(spark, deployment, mode="append_full")
+        assert spark.table("silver_events").count() == k * n
+        counted = spark.sql("select sum(weather_code_count) from weather_condition_summary")
+        assert counted.first()[0] == k * n
+        assert spark.table("avg_temperature_daily").count() > 0
 
 
 def test_views(spark, deployment, documents):
@@ -318,7 +459,7 @@ def test_relational_sinks_pass_their_options(spark, documents):
 
 
 def test_scratch_folder_is_shared(spark):
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    shared = spark.conf.get("spark.checkpoint.dir")
     folders = [scratch_folder(spark, "x") for _ in range(2)]
     assert all(f.startswith(f"{shared.rstrip('/')}/skyledger-x-") for f in folders)
     assert folders[0] != folders[1]
