@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from skyledger.llm.common import texts_of
+from skyledger.llm.common import texts_of, write_scratch
 
 SCOPE = 200
 
@@ -121,6 +121,11 @@ def candidates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _written_candidates(docs: DataFrame) -> DataFrame:
+    """The candidates as a table: few rows, which the linking reads several times."""
+    return write_scratch(candidates(docs), "candidates")
+
+
 def _is(kinds: list[int]) -> Column:
     return F.col("kind").isin(kinds)
 
@@ -209,7 +214,7 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     A null text counts as empty. Repeated rows get the same spans each; a null ``doc_id`` is one
     more value. Texts are not shuffled, only spans and ids.
     """
-    spans = linked(candidates(docs), scope)
+    spans = linked(_written_candidates(docs), scope)
     per_text = spans.groupBy(*KEY).agg(
         F.sort_array(F.collect_list(F.struct("start", "kind", "stop"))).alias("found")
     )
@@ -243,14 +248,13 @@ def redact(docs: DataFrame, scope: int = SCOPE, mark: str = "[secret]") -> DataF
     Overlapping spans are replaced once, from the first start to the last stop. Rows without a span
     keep their text, null included.
     """
-    found = linked(candidates(docs), scope)
+    found = linked(_written_candidates(docs), scope)
     per_text = found.groupBy(*KEY).agg(
         F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("redact_spans")
     )
-    keys = {name: f"redact_{name}" for name in KEY}
-    joined = _keyed(docs).withColumnsRenamed(keys).join(
-        per_text.withColumnsRenamed(keys), list(keys.values()), "left"
-    )
+    whole = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
+    keyed = _keyed(docs.select("doc_id", "text", whole))
+    joined = keyed.join(per_text, list(KEY), "left")
     text = F.col("text")
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at"))
 
@@ -269,12 +273,16 @@ def redact(docs: DataFrame, scope: int = SCOPE, mark: str = "[secret]") -> DataF
         step,
         lambda acc: F.concat(acc["done"], F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2**31 - 1))),
     )
-    cleaned = joined.withColumn(
-        "text", F.when(F.col("redact_spans").isNull(), text).otherwise(redacted)
-    )
-    if "n_chars" in docs.columns:
-        chars = F.length("text").cast(docs.schema["n_chars"].dataType)
-        cleaned = cleaned.withColumn(
-            "n_chars", F.when(F.col("redact_spans").isNull(), F.col("n_chars")).otherwise(chars)
-        )
-    return cleaned.select(*docs.columns)
+    clean = F.when(F.col("redact_spans").isNull(), text).otherwise(redacted)
+    cleaned = joined.select("row", "redact_spans", clean.alias("clean"))
+
+    def column(name: str) -> Column:
+        own = F.col("row").getField(name)
+        if name == "text":
+            return F.col("clean").alias(name)
+        if name == "n_chars":
+            chars = F.length("clean").cast(docs.schema[name].dataType)
+            return F.when(F.col("redact_spans").isNull(), own).otherwise(chars).alias(name)
+        return own.alias(name)
+
+    return cleaned.select(*(column(name) for name in docs.columns))
