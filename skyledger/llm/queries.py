@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe, credentials, fingerprint, jaccard, language, licenses, packing, substrings, suffixes, vectors
+from skyledger.llm import (
+    bpe,
+    credentials,
+    fingerprint,
+    jaccard,
+    language,
+    licenses,
+    oracles,
+    packing,
+    substrings,
+    suffixes,
+    vectors,
+)
 from skyledger.llm.common import documents
 from skyledger.llm.shipping import shipped
 
@@ -104,4 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: Queries that SQL cannot express, or not over whole tables in useful time, have none.
-ORACLE_SQL_OF_QUERIES: dict[str, str] = {}
+ORACLE_SQL_OF_QUERIES: dict[str, str] = {
+    "op1_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op2_small_world_links": oracles.SMALL_WORLD_LINKS,
+    "op5_adaptive_jaccard": oracles.ADAPTIVE_JACCARD,
+}
