@@ -22,9 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 from skyledger.llm.blocks import (
+    CACHED_BYTES,
     RangeHash,
     Sketch,
     TextBlock,
@@ -42,7 +44,7 @@ ANCHOR = 128
 SYMBOL = 8
 HOT = 2048
 #: Bytes of segments that are ordered together.
-COLLECTION_BYTES = 1 << 20
+COLLECTION_BYTES = 1 << 18
 
 _LOW = np.uint64(2**32 - 1)
 
@@ -51,33 +53,65 @@ class Segments:
     """Runs of windows with one anchor: first window, number of windows, anchor and its hash."""
 
     def __init__(self, block: TextBlock, length: int, anchor: int):
-        self.rolling = RangeHash(byte_values(block.data, 0), 0)
-        hashes = self.rolling.rolling(anchor)
-        reach = length - anchor + 1  # anchors that a window can choose from
         n = max(len(block.data) - length + 1, 0)
-        if not n:
-            self.first = self.windows = self.at = np.zeros(0, np.int64)
-            self.key = np.zeros(0, np.uint64)
-            return
-        least = (hashes & ~_LOW) | np.arange(len(hashes), dtype=np.uint64)
-        width = 1
-        while 2 * width <= reach:
-            least = np.minimum(least[:-width], least[width:])
-            width *= 2
-        if width < reach:
-            least = np.minimum(least[: len(least) - (reach - width)], least[reach - width :])
-        at = (least[:n] & _LOW).astype(np.int64)
         inside = np.zeros(n + 1, np.int8)
         fits = block.lengths >= length
         inside[block.starts[fits]] += 1
         inside[(block.starts + block.lengths - length + 1)[fits]] -= 1
-        window = np.flatnonzero(np.cumsum(inside[:n], dtype=np.int8))
-        new = np.ones(len(window), bool)
-        new[1:] = (np.diff(window) != 1) | (np.diff(at[window]) != 0)
-        self.first = window[new]
-        self.windows = np.diff(np.append(np.flatnonzero(new), len(window)))
-        self.at = at[self.first]
-        self.key = hashes[self.at]
+        inside = np.cumsum(inside[:n], dtype=np.int8).astype(bool)
+        parts = [_runs_of_anchors(np.zeros(0, np.int64), np.zeros(0, np.uint64), 0)]
+        for low in range(0, n, CACHED_BYTES):
+            high = min(low + CACHED_BYTES, n)
+            window = np.flatnonzero(inside[low:high])
+            if not len(window):
+                continue
+            values = byte_values(block.data[low : high + length - 1], 0)
+            hashes = RangeHash(values, 0).rolling(anchor)
+            at = _leftmost_least(hashes, length - anchor + 1)[window]
+            runs = _runs_of_anchors(window, at, low)
+            parts.append((*runs[:3], hashes[runs[2] - low]))
+        first, windows, at, key = (np.concatenate(x) for x in zip(*parts, strict=True))
+        # a run may go on in the next piece
+        new = np.ones(len(first), bool)
+        new[1:] = (first[1:] != first[:-1] + windows[:-1]) | (at[1:] != at[:-1])
+        start = np.flatnonzero(new)
+        self.first, self.at, self.key = first[start], at[start], key[start]
+        self.windows = np.add.reduceat(windows, start) if len(start) else windows
+
+
+def _leftmost_least(hashes: np.ndarray, reach: int) -> np.ndarray:
+    """For each run of ``reach`` hashes where its least one is, by the upper half of their bits."""
+    least = (hashes & ~_LOW) | np.arange(len(hashes), dtype=np.uint64)
+    width = 1
+    while 2 * width <= reach:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    if width < reach:
+        least = np.minimum(least[: len(least) - (reach - width)], least[reach - width :])
+    return (least & _LOW).astype(np.int64)
+
+
+def _runs_of_anchors(
+    window: np.ndarray, at: np.ndarray, low: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows and anchor of each run of neighbouring windows with one
+    anchor; places count from ``low``. The last array is empty, for the hashes."""
+    new = np.ones(len(window), bool)
+    new[1:] = (np.diff(window) != 1) | (at[1:] != at[:-1])
+    start = np.flatnonzero(new)
+    windows = np.diff(np.append(start, len(window)))
+    anchors = at[start].astype(np.int64) + low
+    return window[start] + low, windows, anchors, np.zeros(0, np.uint64)
+
+
+def content_hashes(
+    raw: bytes, starts: np.ndarray, stops: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each range, as two arrays."""
+    ranges = zip(starts.tolist(), stops.tolist(), strict=True)
+    digests = b"".join(xxhash.xxh3_128_digest(raw[a:b]) for a, b in ranges)
+    pairs = np.frombuffer(digests, np.uint64).reshape(-1, 2)
+    return pairs[:, 0].copy(), pairs[:, 1].copy()
 
 
 def repeated_windows(
@@ -125,7 +159,11 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, as_text: bool = False, carry: tuple[str, ...] = ()
+    docs: DataFrame,
+    length: int = LENGTH,
+    as_text: bool = False,
+    carry: tuple[str, ...] = (),
+    hot: int = HOT,
 ) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``: the bytes left.
 
@@ -156,9 +194,8 @@ def remove_repeats(
         often = np.flatnonzero(estimate >= 2)
         first, windows, estimate = found.first[often], found.windows[often], estimate[often]
         key, offset = found.key[often], found.at[often] - found.first[often]
-        other = RangeHash(byte_values(block.data, 1), 1)
-        stop = first + windows + length - 1
-        one, two = found.rolling.of(first, stop), other.of(first, stop)
+        raw = block.data.tobytes()
+        one, two = content_hashes(raw, first, first + windows + length - 1)
         order = np.lexsort((first, two, one, key))
         new = np.ones(len(order), bool)
         new[1:] = np.any([np.diff(x[order]) != 0 for x in (key, one, two)], axis=0)
@@ -169,15 +206,15 @@ def remove_repeats(
         lead = order[new]
         weight = np.minimum(count, 2).astype(np.uint8) if len(lead) else np.zeros(0, np.uint8)
 
-        hot = estimate[lead] >= HOT
-        if hot.any():
-            chosen = lead[hot]
+        is_hot = estimate[lead] >= hot
+        if is_hot.any():
+            chosen = lead[is_hot]
             n = windows[chosen]
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             at = np.repeat(first[chosen], n) + step
-            heavy = np.repeat(weight[hot], n)
-            one = found.rolling.of(at, at + length)
-            two = (other.of(at, at + length) >> np.uint64(32)).astype(np.uint32)
+            heavy = np.repeat(weight[is_hot], n)
+            one, two = content_hashes(raw, at, at + length)
+            two = (two >> np.uint64(32)).astype(np.uint32)
             order = np.lexsort((two, one))
             one, two, at, heavy = one[order], two[order], at[order], heavy[order]
             start = np.flatnonzero(
@@ -195,7 +232,7 @@ def remove_repeats(
                 packed = {k: [pack(v)] for k, v in part.items()}
                 yield empty | {"slice": [i], "block": [number]} | packed
 
-        lead, weight = lead[~hot], weight[~hot]
+        lead, weight = lead[~is_hot], weight[~is_hot]
         to = route(key[lead])
         order = np.argsort(to, kind="stable")
         columns = {
@@ -203,7 +240,6 @@ def remove_repeats(
             "windows": windows[lead].astype(np.uint16), "weight": weight,
             "at": first[lead].astype(np.uint32),
         }
-        raw = block.data.tobytes()
         for i, part in by_slice(to[order], n_slices, {k: v[order] for k, v in columns.items()}):
             stops = part["at"].astype(np.int64) + part["windows"] + length - 1
             texts = [raw[a:b] for a, b in zip(part["at"].tolist(), stops.tolist(), strict=True)]
