@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from skyledger.plans.storage import scratch_folder
 
@@ -51,6 +51,20 @@ def write_scratch(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def write_counted(
+    frame: DataFrame, label: str, condition: Column | None = None
+) -> tuple[DataFrame, int]:
+    """As ``write_scratch``, and how many of the rows meet the condition, without a further job.
+
+    A task that is repeated may count its rows again, so the number is good for telling some from
+    none and for sizes.
+    """
+    counted = F.count(F.lit(1)) if condition is None else F.count_if(condition)
+    seen = Observation()
+    table = write_scratch(frame.observe(seen, counted.alias("n")), label)
+    return table, seen.get["n"]
+
+
 def binary_column(table: pa.Table | pa.RecordBatch, name: str) -> list[bytes]:
     """A string or binary column as bytes, null as empty."""
     column = table.column(name)

@@ -280,7 +280,7 @@ def adaptive_join(
 
 
 def _family_links(grouped: DataFrame, families: DataFrame, percent: int, tile: int) -> DataFrame:
-    """Links that join groups of one family, found tile by tile."""
+    """Groups of one family (``a``, ``b``) that a link joins, found tile by tile."""
     rows = grouped.select("rep", "group").join(families, "group")
     group_size = rows.groupBy("family", "group").agg(F.count("*").alias("group_size"))
     family_size = group_size.groupBy("family").agg(
@@ -333,7 +333,8 @@ def _family_links(grouped: DataFrame, families: DataFrame, percent: int, tile: i
             [_u64(x) for x in table.column("shingles").to_pylist()],
             percent,
         )
-        a, b = zip(*links, strict=True) if links else ((), ())
+        of = dict(zip(table.column("rep").to_pylist(), table.column("group").to_pylist()))
+        a, b = ([of[link[side]] for link in links] for side in (0, 1))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return work.groupBy("job").applyInArrow(run, "a long, b long")
@@ -358,46 +359,30 @@ def join(
     carried = candidates.where(F.col("shingles").isNotNull()).groupBy(*of_set).agg(
         F.first(F.struct("popularity", "keys", "shingles", "counts")).alias("set")
     )
-    sets = write_scratch(reps.join(carried, of_set).select("rep", "set.*"), "sets")
-    first_links = write_scratch(_pivot_links(sets, percent), "links")
+    sets = write_scratch(reps.join(carried, of_set).select("rep", *of_set, "set.*"), "sets")
+    members = candidates.select("doc_id", *of_set).join(sets.select("rep", *of_set), of_set)
+    members = write_scratch(members.select("doc_id", "rep").distinct(), "members")
+    # rows with one id and several texts are one node
+    first_links = _pivot_links(sets, percent).unionByName(
+        members.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    )
     groups = components(first_links).select(
         F.col("node").alias("rep"), F.col("component").alias("group")
     )
-    grouped = write_scratch(
-        sets.join(groups, "rep", "left").withColumn("group", F.coalesce("group", "rep")), "groups"
-    )
-    families = write_scratch(_families(grouped, percent), "families")
+    grouped = sets.join(groups, "rep", "left").withColumn("group", F.coalesce("group", "rep"))
+    grouped = write_scratch(grouped.select("rep", "group", "shingles", "counts"), "groups")
+    families = _families(grouped, percent)
     more_links = _family_links(grouped, families, percent, tile)
-    group_links = more_links.select(F.col("a").alias("rep"), "b").join(
-        grouped.select("rep", F.col("group").alias("ga")), "rep"
+    joined = components(more_links).select(
+        F.col("node").alias("group"), F.col("component").alias("joined")
     )
-    group_links = group_links.select(F.col("b").alias("rep"), "ga").join(
-        grouped.select("rep", F.col("group").alias("gb")), "rep"
-    )
-    joined = components(group_links.select(F.col("ga").alias("a"), F.col("gb").alias("b")))
     found = (
-        grouped.select("rep", "group")
-        .join(joined.select(F.col("node").alias("group"), "component"), "group", "left")
-        .select("rep", F.coalesce("component", "group").alias("component"))
-    )
-    of_sets = reps.join(found, "rep").select(*of_set, "component")
-    linked = candidates.select("doc_id", *of_set).join(of_sets, of_set)
-    # rows with one id and several texts lie in several components, which are one then
-    by_id = linked.select(F.col("doc_id").alias("a"), F.col("component").alias("b"))
-    return described.select("doc_id", "n_shingles").join(
-        _smallest(by_id), "doc_id", "left"
-    ).select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-
-
-def _smallest(by_id: DataFrame) -> DataFrame:
-    """``doc_id`` and ``component_id``; an id that lies in several components joins them."""
-    distinct = by_id.distinct()
-    several = distinct.groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("most"))
-    once = several.select("a", F.col("least").alias("b"))
-    between = distinct.join(several.where("least <> most"), "a").select(
-        F.col("b").alias("a"), F.col("least").alias("b")
+        members.join(groups.withColumnRenamed("rep", "doc_id"), "doc_id", "left")
+        .select("doc_id", F.coalesce("group", "doc_id").alias("group"))
+        .distinct()
+        .join(joined, "group", "left")
+        .select("doc_id", F.coalesce("joined", "group").alias("component"))
     )
-    merged = components(between).select(F.col("node").alias("b"), F.col("component").alias("higher"))
-    return once.join(merged, "b", "left").select(
-        F.col("a").alias("doc_id"), F.coalesce("higher", "b").alias("component_id")
+    return described.select("doc_id", "n_shingles").join(found, "doc_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
