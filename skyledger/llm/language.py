@@ -26,8 +26,9 @@ from skyledger.llm.common import map_batches, text_columns
 ORDER = 4
 SAMPLE_DOCS = 2000
 CALIBRATION_SHARE = 0.2
-#: Nats per character above the worst calibration text, and letters a text needs to be rejected.
-MARGIN = 0.5
+#: Nats per character above the worst calibration text that a text may have (short texts with a name or
+#: a key in them vary that much), and letters it needs to be rejected.
+MARGIN = 1.5
 LEAST_LETTERS = 20
 UNKNOWN = "und"
 MAX_MODEL_BYTES = 256 << 20
