@@ -47,8 +47,8 @@ def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BPE_RANKS)
-    encoded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
+    pattern = public_tokenizers.PATTERN
+    return bpe.encode(documents(spark, sf_dir), ranks, pattern, decoded=True).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
