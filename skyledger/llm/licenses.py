@@ -1,4 +1,4 @@
-"""License scans by diagonal voting, in DataFrame functions only.
+"""License scans by diagonal voting.
 
 Every run of ``GRAM`` words of a text is hashed and joined to the places where the same run stands
 in a template. A hit votes for its diagonal, the place in the text minus the place in the template.
@@ -6,25 +6,32 @@ A phrase stands where a diagonal has all of its votes. Longer templates may be q
 put in or left out, so neighbouring diagonals of one template are merged, and the merged span counts
 when its votes cover enough of the template.
 
-The templates are a fixed list, so what is broadcast does not grow with the texts. Every text adds
-one row for itself (a sentinel that always joins) and one per hit; nothing else is shuffled.
+The hashes of a text come as one array from vectorised code; the join, the votes and the spans are
+DataFrame operations. The templates are a fixed list, so what is broadcast does not grow with the
+texts. Every text adds one row for itself (a sentinel that always joins) and one per hit; nothing
+else is shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from skyledger.llm.common import texts_of
+from skyledger.llm.blocks import RangeHash, Texts
+from skyledger.llm.common import binary_column, text_groups, texts_of, write_scratch
 
 GRAM = 3
 #: Of the votes of a template that a merged span must have, and how far diagonals may lie apart.
 COVERAGE = 0.8
 DRIFT = 3
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# The ASCII bytes that stand between words, after A-Z became a-z.
+_APART = np.zeros(256, bool)
+_APART[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 
 
 @dataclass(frozen=True)
@@ -82,13 +89,14 @@ _SELF_HASH, _SELF = 0, -1
 KEY = ("id_key", "text_hash")
 
 
-def _gram_hashes(words: Column) -> Column:
-    """Hash of the ``GRAM`` words from each place on."""
-    places = F.sequence(F.lit(0), F.size(words) - GRAM)
-    hashes = F.transform(
-        places, lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(GRAM)))
-    )
-    return F.when(F.size(words) >= GRAM, hashes).otherwise(F.array().cast("array<bigint>"))
+def gram_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``GRAM`` words, the number of runs and the number of words per text."""
+    block = Texts(texts, _APART)
+    n_words = np.bincount(block.words[2], minlength=len(block))
+    rolling = RangeHash(block.word_hashes(0, lower=True), 1).rolling(GRAM)
+    doc = block.words[2]
+    inside = doc[: len(rolling)] == doc[GRAM - 1 :]
+    return rolling[inside].view(np.int64), np.maximum(n_words - GRAM + 1, 0), n_words
 
 
 def template_grams(spark: SparkSession, templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
@@ -96,19 +104,11 @@ def template_grams(spark: SparkSession, templates: tuple[Template, ...] = TEMPLA
     that every text joins."""
     if any(len(t.words.split()) < GRAM for t in templates):
         raise ValueError(f"a template needs at least {GRAM} words")
-    rows = [(i, t.words.split()) for i, t in enumerate(templates)]
-    words = spark.createDataFrame(rows, "template int, words array<string>")
-    grams = words.select(
-        "template", F.posexplode(_gram_hashes(F.col("words"))).alias("template_at", "gram_hash")
-    ).select("gram_hash", "template", "template_at")
-    own = spark.createDataFrame(
-        [(_SELF_HASH, _SELF, 0)], "gram_hash long, template int, template_at int"
-    )
-    return grams.unionByName(own)
-
-
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(WORD), F.lit(0))
+    hashes, sizes, _ = gram_hashes([t.words.encode() for t in templates])
+    numbers = np.repeat(np.arange(len(templates)), sizes).tolist()
+    places = [at for n in sizes.tolist() for at in range(n)]
+    rows = [(_SELF_HASH, _SELF, 0), *zip(hashes.tolist(), numbers, places, strict=True)]
+    return spark.createDataFrame(rows, "gram_hash long, template int, template_at int")
 
 
 def hits(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
@@ -118,16 +118,27 @@ def hits(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFr
         "doc_id",
         F.coalesce("doc_id", F.lit(-(2**63))).alias("id_key"),
         F.xxhash64("text").alias("text_hash"),
-        words_of(F.col("text")).alias("words"),
-    )
-    hashed = texts.select(
-        "doc_id",
-        *KEY,
-        F.size("words").cast("long").alias("n_words"),
-        F.posexplode(
-            F.concat(F.array(F.lit(_SELF_HASH).cast("long")), _gram_hashes(F.col("words")))
-        ).alias("place", "gram_hash"),
+        "text",
     )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_groups(batch):
+                hashes, sizes, n_words = gram_hashes(binary_column(part, "text"))
+                # the row of the text itself goes before its grams
+                bounds = np.concatenate([[0], np.cumsum(sizes)])
+                values = np.insert(hashes, bounds[:-1], _SELF_HASH)
+                offsets = pa.array(bounds + np.arange(len(bounds)), pa.int32())
+                lists = pa.ListArray.from_arrays(offsets, pa.array(values))
+                columns = [part.column(c) for c in ("doc_id", *KEY)]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(n_words, pa.int64()), lists],
+                    ["doc_id", *KEY, "n_words", "grams"],
+                )
+
+    hashed = texts.mapInArrow(
+        run, "doc_id long, id_key long, text_hash long, n_words long, grams array<long>"
+    ).select("doc_id", *KEY, "n_words", F.posexplode("grams").alias("place", "gram_hash"))
     joined = hashed.join(F.broadcast(grams), "gram_hash")
     is_self = F.col("template") == _SELF
     # the sentinel stands at place 0, so words count from 1 here
@@ -189,7 +200,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFr
     A null text counts as empty and has no words. Repeated rows get a row each; a null ``doc_id``
     stays null. An empty table stays empty.
     """
-    found = hits(docs, templates)
+    found = write_scratch(hits(docs, templates), "hits")  # small, and read three times
     span = F.struct("start", "template", "stop", "coverage")
     per_text = (
         spans(found, templates)
