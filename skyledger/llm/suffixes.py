@@ -278,22 +278,22 @@ def remove_repeats(
             yield from _segments_across(of, columns, content, length)
 
     def strip(block: TextBlock, _: int, answers: pa.Table) -> Iterator[dict]:
-        change = np.zeros(len(block.data) + 1, np.int64)
+        change = np.zeros(len(block.data) + 1, np.int32)
         for at, n in zip(*(answers.column(c).to_pylist() for c in ("at", "n")), strict=True):
             at, n = unpack(at, np.uint32).astype(np.int64), unpack(n, np.uint32)
             np.add.at(change, at, 1)
             np.add.at(change, at + n + length - 1, -1)
-        removed = np.cumsum(change[:-1]) > 0
+        removed = np.cumsum(change[:-1], dtype=np.int32) > 0
         begins = removed.copy()
         begins[1:] &= ~removed[:-1]
         left = block.data[~removed].tobytes()
-        kept = np.concatenate([[0], np.cumsum(~removed)])
+        kept = np.append(np.int32(0), np.cumsum(~removed, dtype=np.int32))
         ends = kept[block.starts + block.lengths + 1].tolist()
         texts = [left[a:b][:-1] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         stops = block.starts + block.lengths
 
         def per_document(mask: np.ndarray) -> np.ndarray:
-            total = np.concatenate([[0], np.cumsum(mask)])
+            total = np.append(np.int32(0), np.cumsum(mask, dtype=np.int32))
             return total[stops] - total[block.starts]
 
         yield {
