@@ -32,10 +32,40 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 @shipped
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents connected by similar shingle sets, the one with the smallest id."""
-    joined = jaccard.join(docs)
-    gone = joined.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of rows connected by similar shingle sets, the one with the smallest id; an id
+    comes before a null one. Rows are told apart by id and text: equal rows count as one and leave
+    one row, rows with one id and unlike texts do not stand for each other."""
+    names = [F.col(c) for c in docs.columns]
+    row = F.struct(*names)
+    text = F.col("text").cast("string")
+    keyed = docs.select(
+        F.xxhash64("doc_id", "text").alias("node"),
+        F.xxhash64(F.lit(1), "doc_id", "text").alias("check"),
+        F.col("doc_id").alias("own_id"),
+        text.alias("text"),
+        row.alias("row"),
+    )
+    nodes = write_scratch(
+        keyed.groupBy("node").agg(
+            F.min("own_id").alias("own_id"),
+            F.count("*").alias("n"),
+            (F.min("check") == F.max("check")).alias("clear"),
+        ),
+        "nodes",
+    )
+    joined = jaccard.join(keyed.select(F.col("node").alias("doc_id"), "text"))
+    joined = joined.select(F.col("doc_id").alias("node"), "component_id").distinct()
+    placed = write_scratch(nodes.join(joined, "node"), "placed")
+    rank = F.struct(F.col("own_id").isNull().alias("unnamed"), "own_id", "node")
+    first = placed.groupBy("component_id").agg(F.min(rank).alias("first"))
+    # two rows that share a node by chance are both kept
+    gone = placed.where("clear").join(first.select("first.node"), "node", "left_anti")
+    gone = write_scratch(gone.select("node"), "gone")
+    repeated = placed.where("n > 1").select("node")
+    left = keyed.join(gone, "node", "left_anti")
+    once = left.join(repeated, "node", "left_anti").select("row")
+    again = left.join(repeated, "node", "left_semi").groupBy("node", "check")
+    return once.unionByName(again.agg(F.min("row").alias("row")).select("row")).select("row.*")
 
 
 @shipped

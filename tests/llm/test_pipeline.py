@@ -94,6 +94,45 @@ def test_odd_documents_pass_all_stages(spark, odd, none):
         corpus_pipeline.STAGES[-1][1](spark, docs, DATA).collect()
 
 
+def test_one_row_of_each_group_is_left(spark, odd, odd_rows):
+    left = corpus_pipeline.near_duplicate_stage(spark, odd, DATA).collect()
+    texts = [t for _, t, *_ in odd_rows]
+    groups = defaultdict(set)
+    for k, _, component in brute.jaccard_join(list(enumerate(texts)), 5, 80):
+        if texts[k] and texts[k].split():
+            groups[component].add(odd_rows[k][:2])
+    firsts = [min(g, key=lambda r: (r[0] is None, r[0])) for g in groups.values()]
+    assert sorted((r.doc_id, r.text) for r in left if r.text and r.text.split()) == sorted(firsts)
+
+
+def test_copies_with_one_id_or_none_leave_one(spark, odd_rows, none):
+    def text(words):  # no two of them share a passage of 200 bytes
+        return " ".join(f"{w} word{k}" for k, w in enumerate(words * 40))
+
+    one, two, three, four = map(text, (["alpha"], ["beta"], ["gamma"], ["delta"]))
+    base = odd_rows[0][1]
+    pairs = [(1, one), (1, one), (None, two), (None, two), (2, three), (None, three), (3, four)]
+    pairs += [(3, base), (4, base), (None, base)]  # the id of another text
+    rows = [(i, t, None if k % 2 else "en", "s", len(t)) for k, (i, t) in enumerate(pairs)]
+    docs = spark.createDataFrame(rows, none.schema).repartition(3)
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        docs = stage(spark, docs, DATA).cache()
+    got = [(r.doc_id, r.text) for r in docs.collect()]
+    assert sorted(got, key=repr) == sorted(
+        [(1, one), (None, two), (2, three), (3, four), (3, base)], key=repr
+    )
+
+
+def test_one_copy_of_the_odd_documents_passes_all_stages(spark, odd, odd_rows):
+    docs = odd
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, DATA).cache()
+    base = odd_rows[0][1]
+    assert [r.doc_id for r in docs.collect() if r.text == base] == [1]
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, DATA).collect()
+    assert 1 in {r.doc_id for r in pieces}
+
+
 def test_a_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES]
     assert numbers == list(range(1, 11))
