@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import random
 import zlib
 from collections import defaultdict
 
@@ -212,6 +213,40 @@ def test_texts_that_no_model_explains(spark, sample):
     assert got[3].lang_pred == "und"
 
 
+def random_words(r, n):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return " ".join("".join(r.choices(letters, k=r.randint(2, 9))) for _ in range(n))
+
+
+def test_garbage_among_the_labelled_rows_does_not_lift_the_limit(spark):
+    r = random.Random(3)
+    clean = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    garbage = [(10**6 + k, random_words(r, r.randint(30, 80)), "en") for k in range(25)]
+    model = language.fit(clean.unionByName(spark.createDataFrame(garbage, clean.schema)))
+    texts = [
+        random_words(r, 60),
+        "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=300)),
+        base64.b64encode(r.randbytes(300)).decode(),
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni "
+        "obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on "
+        "annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana "
+        "sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+    ]
+    assert model.predict(texts)[3].all()
+    kept = language.identify(clean, model).where("rejected").join(clean, "doc_id").collect()
+    assert not [x.text for x in kept if any(c.isalpha() for c in x.text)]
+
+
+def test_a_language_without_calibration_texts_rejects(spark):
+    rows = [(k, "one two three", "en") for k in range(40)]  # too short to calibrate with
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert np.isfinite(model.reject_above).all()
+    texts = ["qzx" * 60, "one two three one two three one two three"]
+    assert model.predict(texts)[3].tolist() == [True, False]
+
+
 def test_language_of_odd_documents(odd, odd_rows, none, sample):
     model = language.fit(sample)
     assert language.identify(odd, model).count() == len(odd_rows)
