@@ -79,6 +79,58 @@ def test_an_audit_widens_the_beam():
     assert len(row) >= 0.97 * exact
 
 
+def unrelated(seed, n, dim=64):
+    vectors = np.random.default_rng(seed).normal(size=(n, dim))
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+def beside(seed, vectors, cosine):
+    aside = unrelated(seed, *vectors.shape)
+    aside -= (aside * vectors).sum(1, keepdims=True) * vectors
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    return cosine * vectors + np.sqrt(1 - cosine**2) * aside
+
+
+def test_an_audit_without_a_near_pair_still_widens_the_beam():
+    vectors = unrelated(4, 3000)
+    ids = np.arange(len(vectors))
+    asked = (np.arange(10_000, 10_400), unrelated(12, 400))
+    shard = Shard(ids, np.ones(len(ids), int), vectors, 0.9, asked)
+    assert shard.exact or shard.beam > 24
+    row, node = shard.links(ids + 10_000, beside(5, vectors, 0.91))
+    assert (row == node).sum() >= 0.98 * len(ids)
+
+
+def test_a_graph_that_misses_is_not_asked():
+    class Lost(Graph):
+        def search(self, queries, beam):
+            ids, sims = super().search(queries, beam)
+            return np.where(ids % 2 == 1, -1, ids), np.where(ids % 2 == 1, -np.inf, sims)
+
+    vectors = unrelated(6, 500)
+    ids = np.arange(len(vectors))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("skyledger.llm.vectors.Graph", Lost)
+        shard = Shard(ids, np.ones(len(ids), int), vectors, 0.9)
+        row, node = shard.links(ids + 10_000, beside(7, vectors, 0.95))
+    assert (row == node).sum() == len(ids)
+    assert shard.exact
+
+
+def test_sparse_links_across_shards(spark):
+    vectors = unrelated(8, 1500)
+    vectors = np.concatenate([vectors, beside(9, vectors[:200], 0.92)]).astype(np.float32)
+    rows = [(k, v) for k, v in enumerate(vectors.tolist())]
+    frame = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA).repartition(5)
+    got = {r.vec_id: r for r in near_vectors(frame, n_shards=12).collect()}
+    exact = vectors.astype(float)
+    exact /= np.linalg.norm(exact, axis=1, keepdims=True)
+    n_links = (exact @ exact.T >= 0.9).sum(axis=1) - 1
+    assert n_links.sum() == 400
+    assert sum(r.n_links for r in got.values()) >= 0.98 * 400
+    assert all(r.n_links <= n_links[i] for i, r in got.items())
+
+
 def test_links_of_clusters(spark):
     vectors = clusters(3, 600, 60)
     rows = [(int(i), [float(x) for x in v]) for i, v in enumerate(vectors)]
