@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
@@ -14,17 +15,21 @@ from skyledger.llm import (
     jaccard,
     language,
     licenses,
+    manifest,
     oracles,
     packing,
     substrings,
     suffixes,
+    twofit,
     vectors,
+    whitening,
 )
 from skyledger.llm.common import documents
 from skyledger.llm.shipping import shipped
 
 BPE_JSON = "byte_bpe_50k.json"
 BPE_RANKS = "byte_bpe_50k.tiktoken"
+WORD_JSON = "word_bpe_49k.json"
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +104,36 @@ def op10_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.digests(credentials.scan(documents(spark, sf_dir)))
 
 
+def op11_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = twofit.pack(documents(spark, sf_dir), public_tokenizers.path(WORD_JSON))
+    return pieces.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
+        "sequence_id", "offset",
+    )
+
+
+TAMPERED_OF = 3
+
+
+def op13_incremental_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPERED_OF == 0
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    rows = manifest.manifest(documents(spark, sf_dir), F.when(tampered, lower))
+    return rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(manifest.siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: shipped(query)
     for query in (
@@ -112,6 +147,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_dedup,
         op9_merkle_fingerprint,
         op10_linked_secrets,
+        op11_feast_whitening,
+        op12_best_two_fit,
+        op13_incremental_manifest,
     )
 }
 
@@ -120,4 +158,5 @@ ORACLE_SQL_OF_QUERIES: dict[str, str] = {
     "op1_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op2_small_world_links": oracles.SMALL_WORLD_LINKS,
     "op5_adaptive_jaccard": oracles.ADAPTIVE_JACCARD,
+    "op13_incremental_manifest": oracles.INCREMENTAL_MANIFEST,
 }
