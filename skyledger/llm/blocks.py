@@ -15,8 +15,10 @@ from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from skyledger.llm.common import (
     TASK_BYTES,
@@ -73,6 +75,9 @@ def _seeds(which: int) -> tuple[np.ndarray, int]:
     return table, int(random.integers(2**32, 2**63)) * 2 + 1
 
 
+#: Longer words are hashed one by one: a polynomial modulo a power of two has equal values for long
+#: words that can be built against it, whatever its base.
+SHORT_WORD = 24
 #: Bytes whose 64-bit hashes are worked on together.
 CACHED_BYTES = 1 << 16
 
@@ -156,6 +161,9 @@ class Texts:
                 low, high = starts[a], stops[b - 1]
                 hashes = RangeHash(values[self.data[low:high]], which)
                 result[a:b] = hashes.of(starts[a:b] - low, stops[a:b] - low)
+        for i in np.flatnonzero(stops - starts > SHORT_WORD).tolist():
+            word = self.data[starts[i] : stops[i]]
+            result[i] = xxhash.xxh3_64_intdigest((_LOWER[word] if lower else word).tobytes(), which)
         return result
 
 
@@ -170,8 +178,7 @@ class TextBlock(Texts):
         )
         self.doc_ids = [ids[i] for i in order]
         self.ids = np.array([NO_ID if x is None else x for x in self.doc_ids], np.int64)
-        carried = table.column("carried").to_pylist()
-        self.carried = [carried[i] for i in order]
+        self.carried = table.column("carried").take(pa.array(order, pa.int64())).combine_chunks()
         super().__init__([texts[i] for i in order])
 
 
@@ -189,7 +196,7 @@ class Blocks:
     def n_slices(self) -> int:
         return max(LEAST_BLOCKS, -(-self.total_bytes // SLICE_BYTES))
 
-    def each(self, function: Callable[[TextBlock], Iterator[dict]], schema: str) -> DataFrame:
+    def each(self, function: Callable[[TextBlock], Iterator[dict]], schema: Schema) -> DataFrame:
         """Rows that ``function`` gives for each block; it yields columns."""
 
         def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -198,7 +205,7 @@ class Blocks:
         return self.frame.groupBy("block").applyInArrow(run, schema)
 
     def with_answers(
-        self, answers: DataFrame, function: Callable[[TextBlock, pa.Table], Iterator], schema: str
+        self, answers: DataFrame, function: Callable[[TextBlock, pa.Table], Iterator], schema: Schema
     ) -> DataFrame:
         """As ``each``, with the rows of ``answers`` for the block."""
 
@@ -211,7 +218,13 @@ class Blocks:
         return self.frame.groupBy("block").cogroup(answered).applyInArrow(run, schema)
 
 
-def _arrow_schema(schema: str) -> pa.Schema:
+#: The columns of a result, as text or as Spark holds them.
+Schema = str | T.StructType
+
+
+def _arrow_schema(schema: Schema) -> pa.Schema:
+    if isinstance(schema, T.StructType):
+        return to_arrow_schema(schema)
     kinds = {
         "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
         "binary": pa.binary(), "boolean": pa.bool_(),
@@ -220,19 +233,25 @@ def _arrow_schema(schema: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in fields])
 
 
-def _table(rows, schema: str) -> pa.Table:
+def _column(values, kind: pa.DataType) -> pa.Array:
+    if isinstance(values, pa.Array):
+        return values if values.type == kind else values.cast(kind)
+    return pa.array(values, kind)
+
+
+def _table(rows, schema: Schema) -> pa.Table:
     """One table out of dictionaries of columns."""
     target = _arrow_schema(schema)
     parts = [
-        pa.table([pa.array(part[f.name], f.type) for f in target], schema=target) for part in rows
+        pa.table([_column(part[f.name], f.type) for f in target], schema=target) for part in rows
     ]
     return pa.concat_tables(parts) if parts else target.empty_table()
 
 
 def blocks_of(docs: DataFrame, carry: tuple[str, ...] = ()) -> Blocks:
-    """Deals the documents out. A null text counts as empty. Columns to ``carry`` go along as JSON
-    text."""
-    carried = F.to_json(F.struct(*carry)) if carry else F.lit(None).cast("string")
+    """Deals the documents out. A null text counts as empty. Columns to ``carry`` go along as a
+    struct."""
+    carried = F.struct(*carry) if carry else F.lit(None).cast("string")
     texts = docs.select(*text_columns(), carried.alias("carried"))
     size = total_bytes(texts)
     n_parts = max(shuffle_partitions(docs.sparkSession), -(-size // TASK_BYTES))

@@ -55,8 +55,8 @@ KINDS = (
     ),
     Kind(
         "value",
-        r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])[A-Za-z0-9+/]{20,64}={0,2}"
-        r"(?![A-Za-z0-9+/_=-])",
+        r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])[A-Za-z0-9+/_-]{20,}+"
+        r"={0,2}+(?![A-Za-z0-9+/_=-])",
         "secret",
         weak=True,
         least=20,

@@ -8,7 +8,8 @@ character. Limits set on sample texts that the models did not see tell texts tha
 they are rejected. A limit is a median and a margin, so a few odd texts under a label do not move it.
 
 The fit reads a bounded sample: about ``sample_docs`` whole documents per language, chosen by a hash
-of the id. Every text is then scored as a whole.
+of the id, or fewer where the model of many languages or large alphabets would be too large to be
+sent to every task. Every text is then scored as a whole.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ SPREADS = 8
 LEAST_CALIBRATION = 5
 LEAST_OF_CLASS = 50
 UNKNOWN = "und"
+#: Bytes of a model, which every task gets. With a larger one the sample is made smaller.
 MAX_MODEL_BYTES = 256 << 20
 
 _BOS = 1
@@ -310,13 +312,17 @@ def _collected(counts: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     }
 
 
-def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
+def fit(
+    labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, max_bytes: int = MAX_MODEL_BYTES
+) -> Model:
     """Models of all languages of ``labelled`` (``doc_id``, ``text``, ``lang``).
 
     Rows with a null text or language are left out. The sample is by a hash of the id, so rows with
     the same id are in it together; a null id counts as any other value. Without any labelled row
     the model has no language. A language with fewer than ``LEAST_CALIBRATION`` calibration texts
-    rejects what its model explains no better than an even guess among all symbols.
+    rejects what its model explains no better than an even guess among all symbols. While the model
+    has more than ``max_bytes``, it is fitted again with at most half of the sample, down to one
+    document per language.
     """
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "doc_id", "lang", "text"
@@ -325,16 +331,23 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     if not sizes:
         return Model([], [], [], [], [], np.zeros(0), np.zeros((len(MARGINS), 0)))
     draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.create_map(
-        *(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample_docs / n)))
-    )
-    sample = usable.where(draw < share[F.col("lang")])
     held = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(1000)) < 1000 * CALIBRATION_SHARE
-    model = build_model(_collected(gram_counts(sample.where(~held)))) if sizes else None
+
+    def drawn(of_language: int) -> DataFrame:
+        share = F.create_map(
+            *(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, of_language / n)))
+        )
+        return usable.where(draw < share[F.col("lang")])
+
+    while True:
+        sample = drawn(sample_docs)
+        model = build_model(_collected(gram_counts(sample.where(~held))))
+        if model.nbytes <= max_bytes or sample_docs == 1:
+            break
+        # a smaller sample is part of a larger one
+        sample_docs = max(1, min(sample_docs // 2, sample_docs * max_bytes // model.nbytes))
     if not model.languages:
         return model
-    if model.nbytes > MAX_MODEL_BYTES:
-        raise ValueError(f"model of {model.nbytes} bytes; lower sample_docs")
     shared = usable.sparkSession.sparkContext.broadcast(model)
 
     def calibrate(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from skyledger.llm.blocks import (
     CACHED_BYTES,
@@ -171,7 +171,7 @@ def remove_repeats(
     same document included. ``kept`` is binary, as a cut may fall inside a character; ``as_text``
     makes it text without the characters that were cut. A null text counts as empty; texts shorter
     than ``length`` stay whole; repeated rows are repeats of each other; an empty table stays empty.
-    Columns to ``carry`` come back as the JSON text ``carried``.
+    Columns to ``carry`` come back as the struct ``carried``.
     """
     if length % SYMBOL or length <= ANCHOR:
         raise ValueError(f"length must be a multiple of {SYMBOL} above {ANCHOR}")
@@ -312,13 +312,11 @@ def remove_repeats(
         " weight binary, at binary, bytes binary",
     )
     settled = per_slice(sent, across, "block long, at binary, n binary")
-    return blocks.with_answers(
-        settled,
-        strip,
+    result = T.StructType.fromDDL(
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept "
         + ("string" if as_text else "binary")
-        + ", carried string",
     )
+    return blocks.with_answers(settled, strip, result.add(blocks.frame.schema["carried"]))
 
 
 def _by_block(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from datetime import datetime
 
 import numpy as np
 import pytest
@@ -72,6 +73,26 @@ def test_substrings_of_sample_documents(sample):
     assert bag(got) == bag(expected)
 
 
+def thue_morse(n, letters):
+    """A word whose polynomial hash modulo 2**64 is that of the word with its letters swapped."""
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [32, 64, 1024, 2048, 4096])
+def test_words_made_to_share_a_hash(spark, n):
+    one, two = thue_morse(n, "ab"), thue_morse(n, "ba")
+    ahead, behind = "x y z u v w", "one two three four five six"
+    rows = [
+        (1, f"{ahead} {one} {behind}"), (2, f"{ahead} {two} {behind}"), (3, one), (4, two),
+        (5, one.upper()), (6, f"{ahead} {one} {behind}"), (7, f"{ahead} {two.upper()} {behind}"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert bag(substrings.remove_repeats(docs).collect()) == bag(brute.substring_dedup(rows, 13))
+    got = jaccard.join(docs, 13, 100).collect()
+    assert bag(got) == bag(brute.jaccard_join(rows, 13, 100))
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 3, 6: 1, 7: 2}
+
+
 def test_no_documents(none):
     assert substrings.remove_repeats(none).count() == 0
     assert suffixes.remove_repeats(none).count() == 0
@@ -149,11 +170,17 @@ def test_suffixes_of_sample_documents(sample, hot):
 
 def test_kept_text_and_carried_columns(spark):
     passage = "ñ" * 100 + "b" * 100
-    rows = [(1, "é" + passage, "x"), (2, passage + "é", None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, more string")
-    got = suffixes.remove_repeats(docs, as_text=True, carry=("more",)).collect()
-    assert bag((r.doc_id, r.kept, r.carried) for r in got) == bag(
-        [(1, "é", '{"more":"x"}'), (2, "é", "{}")]
+    at = datetime(2024, 2, 3, 4, 5, 6, 123456)
+    rows = [
+        (1, "é" + passage, "x", at, {"b": 1, "a": None}, bytearray(b"\x00\xff")),
+        (2, passage + "é", None, None, None, None),
+    ]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, more string, at timestamp, m map<string, int>, raw binary"
+    )
+    got = suffixes.remove_repeats(docs, as_text=True, carry=("more", "at", "m", "raw")).collect()
+    assert bag((r.doc_id, r.kept, *r.carried) for r in got) == bag(
+        (i, "é", *others) for i, _, *others in rows
     )
     with pytest.raises(ValueError):
         suffixes.remove_repeats(docs, length=100)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from datetime import datetime
 
 import numpy as np
 import public_tokenizers
@@ -133,7 +134,26 @@ def test_one_copy_of_the_odd_documents_passes_all_stages(spark, odd, odd_rows):
     assert 1 in {r.doc_id for r in pieces}
 
 
+def test_other_columns_pass_as_they_are(spark, odd_rows, none):
+    """A time with microseconds, a map and binary data, also on repeated rows."""
+    base = odd_rows[0][1]
+    at = datetime(2024, 2, 3, 4, 5, 6, 123456)
+    rows = [
+        (1, base, "en", "s", len(base), at, {"k": 1, "a": None}, bytearray(b"\x00\xff")),
+        (1, base, "en", "s", len(base), at, {"k": 1, "a": None}, bytearray(b"\x00\xff")),
+        (2, base[::-1], "en", None, 1, None, {}, bytearray()),
+        (3, base[5:] + base[::3], "en", None, None, at, None, None),
+    ]
+    schema = none.schema.simpleString()[7:-1] + ",at:timestamp,tags:map<string,int>,raw:binary"
+    docs = spark.createDataFrame(rows, schema)
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        docs = stage(spark, docs, DATA).cache()
+        assert docs.dtypes == spark.createDataFrame([], schema).dtypes
+    left = {r.doc_id: tuple(r)[5:] for r in docs.collect()}
+    assert left == {i: tuple(others) for i, *_, at, tags, raw in rows for others in [(at, tags, raw)]}
+
+
 def test_a_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES]
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert corpus_pipeline.QUERIES.keys() == {"pipeline"}

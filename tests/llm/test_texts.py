@@ -247,6 +247,24 @@ def test_a_language_without_calibration_texts_rejects(spark):
     assert model.predict(texts)[3].tolist() == [True, False]
 
 
+def test_forty_languages_and_a_small_budget(spark):
+    """A model that would be too large comes from a smaller sample; nothing fails."""
+    r = random.Random(4)
+    rows = []
+    for k in range(40):
+        letters = [chr(0x4E00 + 400 * k + i) for i in range(300)]
+        rows += [(len(rows) + i, "".join(r.choices(letters, k=400)), f"l{k}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = language.fit(docs)
+    small = language.fit(docs, max_bytes=whole.nbytes // 2)
+    assert small.nbytes <= whole.nbytes // 2
+    for model in (whole, small):
+        found = {r.doc_id: r.lang_pred for r in language.identify(docs, model).collect()}
+        right = sum(found[i] == lang for i, _, lang in rows)
+        assert set(found) == {i for i, *_ in rows} and right >= 0.95 * len(rows)
+    assert language.fit(docs, max_bytes=1).nbytes > 1  # one document each, whatever it takes
+
+
 def test_language_of_odd_documents(odd, odd_rows, none, sample):
     model = language.fit(sample)
     assert language.identify(odd, model).count() == len(odd_rows)
@@ -355,6 +373,24 @@ def test_weak_candidates_need_their_complements(spark):
     }
 
 
+@pytest.mark.parametrize(
+    "value",
+    [
+        "Zb3kQ9xW7pLm2RtY5vN8" * 4 + "Abcdef12==",  # an 88-character storage key and longer ones
+        "Zb3kQ9xW7pLm2RtY5vN8" * 400,
+        "Zb3kQ9xW-7pLm2RtY_5vN8cJ4h",  # the URL-safe alphabet
+    ],
+)
+def test_values_of_any_length_and_alphabet(spark, value):
+    text = f"account=alice1 {value} https://store.example.org/x"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = credentials.digests(credentials.scan(docs)).collect()
+    at = text.index(value)
+    assert f"value:{at}:{at + len(value)}" in row.spans.split(",")
+    assert [s.split(":")[0] for s in row.spans.split(",")] == ["identifier", "value", "endpoint"]
+    assert value not in credentials.redact(docs).first().text
+
+
 def test_redaction_keeps_all_columns(odd, odd_rows):
     got = credentials.redact(odd)
     assert got.columns == odd.columns
