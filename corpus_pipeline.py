@@ -65,7 +65,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     left = keyed.join(gone, "node", "left_anti")
     once = left.join(repeated, "node", "left_anti").select("row")
     again = left.join(repeated, "node", "left_semi").groupBy("node", "check")
-    return once.unionByName(again.agg(F.min("row").alias("row")).select("row")).select("row.*")
+    # by their text, since rows may hold what has no order
+    chosen = again.agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
+    return once.unionByName(chosen).select("row.*")
 
 
 @shipped
@@ -75,8 +77,7 @@ def repeated_text_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     left = suffixes.remove_repeats(docs, as_text=True, carry=others)
     left = left.where(~((F.col("n_removed") > 0) & (F.trim("kept") == "")))
-    fields = F.from_json("carried", docs.select(*others).schema)
-    left = left.select("doc_id", F.col("kept").alias("text"), fields.alias("other"))
+    left = left.select("doc_id", F.col("kept").alias("text"), F.col("carried").alias("other"))
     chars = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
     columns = [
         F.col(c) if c in ("doc_id", "text") else chars if c == "n_chars" else F.col(f"other.{c}")
