@@ -339,6 +339,13 @@ ORACLE_SQL: dict[str, str] = {
         " count(case when event_id % 101 = 0 then 1 end) as rows_corrupt,"
         " count(case when event_id % 101 <> 0 then 1 end) as rows_written from events"
     ),
+    "silver_compacted": _with_docs(f"select {_SILVER_COLUMNS} from docs"),
+    "raw_stray_brackets": _with_docs(
+        "select event_id, case when event_id % 5 = 0 then datetime_utc end as time,"
+        " case when event_id % 5 = 0 then location_name end as name,"
+        " case event_id % 5 when 1 then ' [ {' when 2 then ':[{}' when 3 then '}} }'"
+        " when 4 then '}}]}' end as corrupt_end from docs"
+    ),
     "silver_stream": _with_docs(f"select {_SILVER_COLUMNS} from docs"),
     "alerts_stream": _with_docs(
         "select i.datetime_utc, i.location_name, i.label, i.location_incomplete,"

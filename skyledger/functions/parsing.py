@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 #: unfinished string is not taken apart.
 _JOINT = r'\G((?:[^"}]++|"(?:[^"\\]++|\\.)*+"|\}(?!\s*\{))*+\})\s*(?=\{)'
 _MAY_BE_JOINED = r"\}\s*\{"
-_STRING = r'"(?:[^"\\]++|\\.)*+"'
 _BREAK = "\n"
-#: What could close the brackets that a piece is parsed in.
-_CLOSES_LIST = r"\]\s*\}"
+#: Field of the objects that stand before and behind a piece when it is parsed.
+_SEAL = "_piece_seal"
 
 
 def pieces_of(text: Column) -> Column:
@@ -33,17 +32,6 @@ def one_line(text: Column) -> Column:
     return F.translate(text, "\n\r", "  ")
 
 
-def _closed(piece: Column) -> Column:
-    """Whether nothing closes more brackets than the piece opened, which would hide what follows."""
-    bare = F.regexp_replace(piece, _STRING, "")
-
-    def count(mark: str) -> Column:
-        return F.length(bare) - F.length(F.replace(bare, F.lit(mark), F.lit("")))
-
-    balanced = (count("{") == count("}")) & (count("[") == count("]"))
-    return F.when(piece.rlike(_CLOSES_LIST), balanced).otherwise(F.lit(True))
-
-
 def parse_json(
     lines: DataFrame,
     column: str,
@@ -54,26 +42,34 @@ def parse_json(
     """The ``keep`` columns, then the fields of ``schema`` out of each object in ``column``, then
     ``corrupt``: the piece itself where it is not exactly one object.
 
-    A piece is parsed inside brackets, so that what stands behind the object is seen. As a generator
-    with one row rather than a projection: a later filter on a parsed field would be pushed below a
-    projection together with the whole parser, which then runs twice on each row.
+    A piece is parsed as the middle one of three list elements. The outer two hold its hash, so they
+    are told from anything in the piece: if all three come out of one list, nothing in the piece
+    closed a bracket that it had not opened, however many it opens or closes. That takes no look at
+    the text beside the parser's.
+
+    As a generator with one row rather than a projection: a later filter on a parsed field would be
+    pushed below a projection together with the whole parser, which then runs twice on each row.
     """
     bad = "json_failure"
-    inside = T.StructType().add("json_objects", T.ArrayType(schema)).add(bad, T.StringType())
-    piece = F.col("json_piece")
-    wrapped = F.concat(F.lit('{"json_objects":['), piece, F.lit("]}"))
-    parsed = F.from_json(wrapped, inside, {"columnNameOfCorruptRecord": bad})
-    single = lines.select(
-        *keep, F.explode(pieces_of(F.col(column))).alias("json_piece")
+    element = T.StructType([*schema.fields, T.StructField(_SEAL, T.LongType())])
+    inside = T.StructType().add("json_objects", T.ArrayType(element)).add(bad, T.StringType())
+    piece, hashed = F.col("json_piece"), F.col("json_hash")
+    seal = F.concat(F.lit(f'{{"{_SEAL}":'), hashed.cast("string"), F.lit("}"))
+    wrapped = F.concat(
+        F.lit('{"json_objects":['), seal, F.lit(","), piece, F.lit(","), seal, F.lit("]}")
     )
-    opened = single.select(*keep, "json_piece", F.inline(F.array(parsed)))
-    one = F.try_element_at("json_objects", F.lit(1))
+    parsed = F.from_json(wrapped, inside, {"columnNameOfCorruptRecord": bad})
+    single = lines.select(*keep, F.explode(pieces_of(F.col(column))).alias("json_piece"))
+    sealed = single.withColumn("json_hash", F.xxhash64("json_piece"))
+    opened = sealed.select(*keep, "json_piece", "json_hash", F.inline(F.array(parsed)))
+    first, one, last = (F.try_element_at("json_objects", F.lit(i)) for i in (1, 2, 3))
     whole = (
         F.col(bad).isNull()
-        & (F.size("json_objects") == 1)
+        & (F.size("json_objects") == 3)
+        & (first.getField(_SEAL) == hashed)
+        & (last.getField(_SEAL) == hashed)
         & one.isNotNull()
         & piece.rlike(r"^\s*\{")
-        & _closed(piece)
     )
     fields = [one.getField(name).alias(name) for name in schema.names]
     return opened.select(

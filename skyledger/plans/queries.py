@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from skyledger.operators import alerts, gold
 from skyledger.operators.silver import to_silver, typed_silver
 from skyledger.plans import refresh
+from skyledger.plans.compaction import compact, remove_replaced
 from skyledger.plans.storage import Deployment, load_folder, scratch_folder
 from skyledger.sinks.tables import land_documents, land_lines
 from skyledger.sources import envelope
@@ -241,6 +242,41 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, deployment).select(*EVENT_COLUMNS)
 
 
+def silver_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five loads, compactions after the second, the fourth and the last, and what they replaced
+    removed: every record is there once."""
+    deployment = _new_deployment(spark, "compacted")
+    documents = _documents(spark, sf_dir)
+    for part in range(5):
+        raw = f"{deployment.root}/landing-{part}"
+        land_documents(documents.where(F.col("event_id") % 5 == part), raw, FIRST_DAY)
+        refresh.append_all(spark, deployment, raw)
+        if part % 2:
+            compact(spark, deployment)
+    compact(spark, deployment, least_loads=1)
+    remove_replaced(spark, deployment)
+    return read_silver(spark, deployment).select(*EVENT_COLUMNS)
+
+
+#: What stands behind a document on a line, by event: brackets that a careless reader takes for its own.
+STRAY_BRACKETS = ("", "]} [ {", '],"b":[{}', " }", "]}")
+
+
+def raw_stray_brackets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents followed by stray brackets are no documents."""
+    lines = to_lines(_documents(spark, sf_dir), keep=("event_id",))
+    stray = F.get(F.array(*map(F.lit, STRAY_BRACKETS)), F.col("event_id") % len(STRAY_BRACKETS))
+    behind = lines.select("event_id", F.concat(TEXT_LINE, stray).alias(TEXT_LINE))
+    parsed = parse_documents(behind, keep=["event_id"])
+    is_good = F.col(CORRUPT).isNull()
+    return parsed.select(
+        "event_id",
+        F.when(is_good, F.col("data.time")).alias("time"),
+        F.when(is_good, F.col("location.name")).alias("name"),
+        F.right(CORRUPT, F.lit(4)).alias("corrupt_end"),
+    )
+
+
 INGESTED_AT = datetime(2024, 2, 3, 12, 5, 6)
 
 
@@ -405,6 +441,8 @@ QUERIES: dict[str, Query] = {
         silver_append_twice,
         gold_refresh,
         ingest_metrics,
+        silver_compacted,
+        raw_stray_brackets,
         silver_stream,
         alerts_stream,
         raw_to_gold,

@@ -6,6 +6,7 @@ A deployment is one folder on shared storage::
     silver/load=<id>/status=<ok|corrupt>/datetime_brasil=<day>/
     rollup/block=<b>/load=<id>/      mergeable gold states of that load
     commits/block=<b>/     a numbered mark per committed load
+    compactions/           a mark per compaction of silver loads, which is a load that replaces others
     gold/slot=<0|1>/<merged_rollup|daily_wide>/<day partitions>, weather_codes/, touched/, refresh/
     checkpoints/
 
@@ -58,6 +59,10 @@ class Deployment:
     def all_commits(self) -> str:
         return self._at("commits/block=*")
 
+    @property
+    def compactions(self) -> str:
+        return self._at("compactions")
+
     @property
     def refresh_marks(self) -> str:
         return self._at(f"gold/slot=*/{REFRESH_MARK}")
@@ -83,6 +88,23 @@ def block_of(number: int) -> int:
     return number // MARKS_PER_BLOCK
 
 
+def _path_and_files(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of all files in a folder."""
+    path, files = _path_and_files(spark, folder)
+    return files.getContentSummary(path).getLength()
+
+
+def remove_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder; whether it was there."""
+    path, files = _path_and_files(spark, folder)
+    return files.delete(path, True)
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which every executor can reach, removed when
     the session's JVM ends.
@@ -98,8 +120,7 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
         atexit.register(shutil.rmtree, shared, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", shared)
     folder = f"{shared.rstrip('/')}/skyledger-{label}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    path, files = _path_and_files(spark, folder)
     files.mkdirs(path)
     files.deleteOnExit(path)
     return folder

@@ -63,6 +63,9 @@ STATUS = "status"
 STATUS_OK = "ok"
 STATUS_CORRUPT = "corrupt"
 
+# In compacted silver files: the ingest stream that a row came by, if it came by one.
+ORIGIN_STREAM = "origin_stream"
+
 LOCATION_KEY = ("location_name", "latitude", "longitude")
 LOCAL_DAY = "datetime_brasil"
 INGESTION_COLUMNS = ("ingestion_at", "ingestion_at_timestamp")

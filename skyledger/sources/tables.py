@@ -13,10 +13,11 @@ from skyledger.operators.gold import (
     rollup,
 )
 from skyledger.plans.storage import REFRESH_MARK, WEATHER_CODES, Deployment, load_folder
-from skyledger.sources.commits import committed_loads, if_there
+from skyledger.sources.commits import Source, committed_loads, if_there, silver_sources
 from skyledger.sources.schema import (
     CORRUPT,
     INGESTION_COLUMNS,
+    ORIGIN_STREAM,
     SILVER_COLUMNS,
     STATUS,
     STATUS_CORRUPT,
@@ -31,27 +32,47 @@ _LOAD = "load"
 
 
 def _silver_files(
-    spark: SparkSession, path: str, location_mode: str, schema: T.StructType | None, *more: str
+    spark: SparkSession,
+    paths: list[str],
+    location_mode: str,
+    schema: T.StructType | None,
+    *more: str,
+    **options: str,
 ) -> DataFrame:
     columns = (schema or silver_schema(location_mode)).fields
-    partitions = [T.StructField(name, T.StringType()) for name in (*more, STATUS)]
-    corrupt = T.StructField(CORRUPT, T.StringType())
-    return spark.read.schema(T.StructType([*columns, corrupt, *partitions])).parquet(path)
+    texts = [T.StructField(name, T.StringType()) for name in (CORRUPT, ORIGIN_STREAM, *more, STATUS)]
+    return spark.read.schema(T.StructType([*columns, *texts])).options(**options).parquet(*paths)
+
+
+def silver_of_sources(
+    spark: SparkSession,
+    deployment: Deployment,
+    location_mode: str,
+    sources: list[Source],
+    gone: list[str],
+) -> DataFrame:
+    """Silver files of some folders, with ``load``, ``status``, ``_corrupt_record`` and, for compacted
+    ones, ``origin_stream``, and without the rows of streams that are ``gone``. No other folder is
+    listed."""
+    paths = [load_folder(deployment.silver, s.load) for s in sources]
+    if not paths:
+        columns = [*silver_schema(location_mode)]
+        columns += [T.StructField(c, T.StringType()) for c in (CORRUPT, ORIGIN_STREAM, _LOAD, STATUS)]
+        return spark.createDataFrame([], T.StructType(columns))
+    files = _silver_files(spark, paths, location_mode, None, _LOAD, basePath=deployment.silver)
+    if gone:
+        origin = F.col(ORIGIN_STREAM)
+        files = files.where(origin.isNull() | ~origin.isin(gone))
+    return files
 
 
 def _committed_files(
     spark: SparkSession, deployment: Deployment, location_mode: str, status: str
 ) -> DataFrame:
-    """Silver files of the loads that count. The loads join on a partition column, so files of
-    others are not opened."""
-    loads = committed_loads(spark, deployment).select(_LOAD)
-    files = if_there(
-        spark, lambda: _silver_files(spark, deployment.silver, location_mode, None, _LOAD)
-    )
-    if files is None:
-        schema = T.StructType([*silver_schema(location_mode), T.StructField(CORRUPT, T.StringType())])
-        return spark.createDataFrame([], schema)
-    return files.where(F.col(STATUS) == status).join(loads, _LOAD, "left_semi")
+    """Silver files that count; the folders of failed or replaced loads are not listed."""
+    sources, gone = silver_sources(spark, deployment)
+    files = silver_of_sources(spark, deployment, location_mode, sources, gone)
+    return files.where(F.col(STATUS) == status)
 
 
 def read_silver(
@@ -74,8 +95,8 @@ def read_load(
 ) -> DataFrame:
     """Rows of one load, committed or not, with ``_corrupt_record``."""
     folder = load_folder(deployment.silver, load_id)
-    files = _silver_files(spark, folder, "string", schema)
-    return files.where(F.col(STATUS) == status).drop(STATUS)
+    files = _silver_files(spark, [folder], "string", schema)
+    return files.where(F.col(STATUS) == status).drop(STATUS, ORIGIN_STREAM)
 
 
 def read_silver_jdbc(

@@ -128,6 +128,15 @@ JOINED = [
     ('{"a":1}{"a":2} junk', ["1"], ['{"a":2} junk']),
     ('{"a":1}} junk', [], ['{"a":1}} junk']),
     ('{"a":1}]} junk', [], ['{"a":1}]} junk']),
+    ('{"a":1}]} [ {', [], ['{"a":1}]} [ {']),
+    ('{"a":1}]}', [], ['{"a":1}]}']),
+    ('{"a":1}],"b":[{}', [], ['{"a":1}],"b":[{}']),
+    ('{"a":1}],"json_objects":[{}', [], ['{"a":1}],"json_objects":[{}']),
+    ('{"a":1}]}[', [], ['{"a":1}]}[']),
+    ('{"a":1},', [], ['{"a":1},']),
+    (',{"a":1}', [], [',{"a":1}']),
+    ('{"a":1},{"_piece_seal":1}', [], ['{"a":1},{"_piece_seal":1}']),
+    ('{"a":"]}] [ {"}', ["]}] [ {"], []),
     ('{"a":1},{"a":2}', [], ['{"a":1},{"a":2}']),
     ('{"a":"unfinished}{"a":2}', [], ['{"a":"unfinished}{"a":2}']),
     ('{"a":[1,{"c":2}]}', ['[1,{"c":2}]'], []),
