@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,14 @@ PIECES = (
     "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
 )
 _ROWS = 2048
-_KNOWN_WORDS = 400_000
+_KNOWN_WORDS = 1_000_000
 _WIDTH = 4
+#: Leading bytes of combining marks that join an ASCII letter to one character.
+_MARK = re.compile(rb"[\xcc\xcd]")
+#: Punctuation, but for apostrophes, between an ASCII letter and white space.
+_BEHIND = re.compile(rb"(?<=[a-z])[!-&(-/:-@\[-`{-~]+(?=[ \t\n\r\x0b\x0c]|\Z)")
+#: Lower-case letters of ASCII and Latin-1, in UTF-8.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
 
 # --- tokens
@@ -42,38 +50,50 @@ class Words:
 
     A word is what stands between ASCII white space, where the tokenizer always splits; it
     normalises character by character or together with marks that follow, so that a word has the
-    same ids wherever it stands.
+    same ids wherever it stands. Texts in which no mark can follow a capital are put in lower case
+    first and marks of punctuation behind a word are taken off it, as the tokenizer does, so that
+    fewer words are new. Words of lower-case letters skip its normalisation and splitting.
     """
 
     def __init__(self, path: str):
         # a task has one core
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self._tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            added = json.load(file)["added_tokens"]
-        self._whole = [t["content"] for t in added if t["content"].split() != [t["content"]]]
+            settings = json.load(file)
+        self._whole = Tokenizer.from_str(json.dumps(settings))
+        self._special = [t["content"].encode() for t in settings["added_tokens"]]
+        by_byte = [p for p in settings["pre_tokenizer"]["pretokenizers"] if p["type"] == "ByteLevel"]
+        plain = settings | {"normalizer": None, "pre_tokenizer": by_byte[0], "added_tokens": []}
+        self._letters = Tokenizer.from_str(json.dumps(plain))
         self._known: dict[bytes, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> None:
-        texts = [w.decode() for w in words]
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for word, encoding in zip(words, found, strict=True):
-            self._known[word] = np.array(encoding.ids, "<u4").tobytes()
+    def _learn(self, words: list[bytes], tokenizer: Tokenizer) -> None:
+        if not words:
+            return
+        texts = b"\n".join(words).decode().split("\n")
+        found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        raw = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+        ends = list(accumulate(_WIDTH * len(ids) for ids in found))
+        for word, start, end in zip(words, [0, *ends], ends):
+            self._known[word] = raw[start:end]
+
+    def _split(self, text: bytes) -> list[bytes]:
+        lower = text.lower()  # of ASCII letters
+        if _MARK.search(text) or any(s in lower for s in self._special):
+            return text.split()
+        return _BEHIND.sub(rb" \g<0>", lower).split()
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if any(w.encode() in t for w in self._whole for t in texts):  # special tokens with spaces
-            found = (self._tokenizer.encode(t.decode(), add_special_tokens=False) for t in texts)
-            return [np.array(f.ids, "<u4").tobytes() for f in found]
-        split = [t.split() for t in texts]
-        new = {w for words in split for w in words}.difference(self._known)
-        if len(self._known) + len(new) > _KNOWN_WORDS:
-            self._known.clear()
-            new = {w for words in split for w in words}
-        if new:
-            self._learn(list(new))
-        known = self._known
-        return [b"".join([known[w] for w in words]) for words in split]
+        split = [self._split(t) for t in texts]
+        used = set().union(*split)
+        new = used.difference(self._known)
+        if len(self._known) + len(new) > _KNOWN_WORDS:  # remember what is used now
+            self._known = {w: self._known[w] for w in used.difference(new)}
+        letters = [w for w in new if _LETTERS.fullmatch(w)]
+        self._learn(letters, self._letters)
+        self._learn(list(new.difference(letters)), self._whole)
+        return [b"".join(map(self._known.__getitem__, words)) for words in split]
 
 
 @cache

@@ -27,7 +27,8 @@ def ids_of(text):
 def test_words_have_the_ids_of_the_library():
     r = random.Random(3)
     alphabet = "aB'.9 \n\t é́ΣσİKK日\U00019036 \x1c<|>"
-    texts = ODD_TEXTS + ["".join(r.choices(alphabet, k=r.randint(1, 30))) for _ in range(3000)]
+    texts = ODD_TEXTS + ["J\u030c I\u0307 H\u0331 W\u030a", "<|ENDOFTEXT|> x", "he said.\x1c so, Don't!' x'. é, É!!"]
+    texts += ["".join(r.choices(alphabet, k=r.randint(1, 30))) for _ in range(3000)]
     words = twofit.Words(PATH)
     tokenizer = Tokenizer.from_file(PATH)
     for text, raw in zip(texts, words.ids([t.encode() for t in texts]), strict=True):
