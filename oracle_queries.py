@@ -334,6 +334,18 @@ ORACLE_SQL: dict[str, str] = {
         f" group by {_PLACE}, datetime_brasil"
     ),
     "gold_refresh": _with_docs(" union all ".join(_LONG)),
+    "gold_catalog": _with_docs(
+        " union all ".join(
+            _LONG
+            + [
+                f"select 'refresh {part}' as table_name, null as location_name, null as latitude,"
+                " null as longitude, null as date, null as weather_code,"
+                " 'weather_code_count' as measure, cast(count(*) as double) as value"
+                f" from docs where event_id % 3 <= {part}"
+                for part in range(3)
+            ]
+        )
+    ),
     "ingest_metrics": (
         "select count(*) as rows_read,"
         " count(case when event_id % 101 = 0 then 1 end) as rows_corrupt,"

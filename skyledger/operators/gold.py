@@ -124,9 +124,10 @@ def rollup(silver: DataFrame) -> DataFrame:
     return _aggregate_silver(silver, ROLLUP_KEY, _EVERY_MEASURE)
 
 
-def merge_rollups(states: DataFrame) -> DataFrame:
-    """Rollup rows of several loads to one row per key, still mergeable."""
-    return states.groupBy(*ROLLUP_KEY).agg(*named(_parts(_EVERY_MEASURE, "merge")))
+def merge_rollups(states: DataFrame, *more: str) -> DataFrame:
+    """Rollup rows of several loads to one row per key, still mergeable; ``more`` columns keep rows
+    apart."""
+    return states.groupBy(*ROLLUP_KEY, *more).agg(*named(_parts(_EVERY_MEASURE, "merge")))
 
 
 def daily_wide_from_rollup(states: DataFrame) -> DataFrame:

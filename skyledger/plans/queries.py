@@ -7,6 +7,7 @@ scan and the derivation down to what a query needs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
@@ -18,6 +19,7 @@ from skyledger.operators.silver import to_silver, typed_silver
 from skyledger.plans import refresh
 from skyledger.plans.compaction import compact, remove_replaced
 from skyledger.plans.storage import Deployment, load_folder, scratch_folder
+from skyledger.sinks.catalog import publish_catalog
 from skyledger.sinks.tables import land_documents, land_lines
 from skyledger.sources import envelope
 from skyledger.sources.raw import parse_documents, read_raw, to_lines, well_formed
@@ -258,6 +260,37 @@ def silver_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, deployment).select(*EVENT_COLUMNS)
 
 
+def gold_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold tables as another session finds them by name after each of three refreshes."""
+    deployment = _new_deployment(spark, "catalog")
+    database = f"weather_{uuid.uuid4().hex}"
+    spark.sql(f"create database {database} location '{scratch_folder(spark, 'database')}'")
+    documents = _documents(spark, sf_dir)
+    other, totals = spark.newSession(), []
+    for part in range(3):
+        land_documents(documents.where(F.col("event_id") % 3 == part), deployment.raw, FIRST_DAY)
+        refresh.run(spark, deployment)
+        if part == 0:
+            publish_catalog(spark, deployment, database)
+        codes = other.table(f"{database}.weather_condition_summary")
+        totals.append(codes.agg(F.sum("weather_code_count")).first()[0])
+    seen = [gold.in_long_form(name, other.table(f"{database}.{name}")) for name in gold.GOLD_TABLES]
+    counts = spark.createDataFrame(list(enumerate(totals)), "part int, total bigint")
+    as_rows = counts.select(
+        F.concat(F.lit("refresh "), "part").alias("table_name"),
+        F.lit(None).cast("string").alias("location_name"),
+        *(F.lit(None).cast("double").alias(c) for c in ("latitude", "longitude")),
+        F.lit(None).cast("date").alias("date"),
+        F.lit(None).cast("int").alias("weather_code"),
+        F.lit("weather_code_count").alias("measure"),
+        F.col("total").cast("double").alias("value"),
+    )
+    folder = scratch_folder(spark, "catalog-rows")
+    for number, frame in enumerate((*seen, as_rows)):
+        frame.write.parquet(f"{folder}/part={number}")
+    return spark.read.parquet(folder).drop("part")
+
+
 #: What stands behind a document on a line, by event: brackets that a careless reader takes for its own.
 STRAY_BRACKETS = ("", "]} [ {", '],"b":[{}', " }", "]}")
 
@@ -442,6 +475,7 @@ QUERIES: dict[str, Query] = {
         gold_refresh,
         ingest_metrics,
         silver_compacted,
+        gold_catalog,
         raw_stray_brackets,
         silver_stream,
         alerts_stream,

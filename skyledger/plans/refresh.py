@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,13 +21,16 @@ from skyledger.operators.gold import (
 )
 from skyledger.operators.silver import to_silver
 from skyledger.plans.storage import (
+    MARKS_PER_BLOCK,
     MERGED_ROLLUP,
     REFRESH_MARK,
     TOUCHED_DAYS,
     WEATHER_CODES,
     Deployment,
     block_of,
+    has_folder,
 )
+from skyledger.sinks.catalog import switch_catalogs
 from skyledger.sinks.tables import LoadMetrics, write_load
 from skyledger.sources.commits import if_there, marks_above, valid_loads
 from skyledger.sources.raw import RAW_GLOB, read_raw
@@ -58,23 +62,62 @@ def _in_days(day: str, days: list) -> Column:
     return found | F.col(day).isNull() if len(known) < len(days) else found
 
 
+def _merged_blocks(spark: SparkSession, deployment: Deployment) -> set[int]:
+    marks = if_there(spark, lambda: spark.read.schema("block bigint").json(deployment.merged_marks))
+    return set() if marks is None else {row[0] for row in marks.collect()}
+
+
+def _rollups(spark: SparkSession, deployment: Deployment, blocks: list[int]) -> DataFrame | None:
+    """Rollups of the loads of some blocks, in one scan, with ``load`` and ``block``."""
+    there = [p for p in map(deployment.rollups, blocks) if has_folder(spark, p)]
+    reader = spark.read.option("basePath", deployment.rollup)
+    return reader.parquet(*there) if there else None
+
+
 def _new_states(
-    spark: SparkSession, deployment: Deployment, loads: DataFrame, blocks: range
+    spark: SparkSession,
+    deployment: Deployment,
+    marks: DataFrame,
+    blocks: range,
+    merged: set[int] = frozenset(),
 ) -> DataFrame:
-    """Rollup rows of the loads, which lie in the blocks."""
-    frames = [
-        frame.withColumn("block", F.lit(block))
-        for block in blocks
-        if (frame := if_there(spark, lambda: spark.read.parquet(deployment.rollups(block))))  # noqa: B023
-        is not None
-    ]
+    """Rollup rows of the loads that count among the marks, which lie in the blocks.
+
+    Of blocks that are ``merged`` the one merged rollup is read, without the rows of streams that
+    were superseded since. However many loads there are, that is two scans.
+    """
+    frames = []
+    rollups = _rollups(spark, deployment, [b for b in blocks if b not in merged])
+    if rollups is not None:
+        frames.append(rollups_of(rollups, valid_loads(marks)).drop("block"))
+    if closed := [f"{deployment.merged_blocks}/block={b}" for b in blocks if b in merged]:
+        reader = spark.read.option("basePath", deployment.merged_blocks)
+        gone = marks.where("supersedes is not null").select(F.col("supersedes").alias("stream"))
+        kept = reader.parquet(*closed).join(gone.distinct(), "stream", "left_anti")
+        frames.append(kept.drop("stream", "block"))
     if not frames:
-        empty = spark.createDataFrame([], silver_schema())
-        return rollup(empty)
-    states = frames[0]
-    for frame in frames[1:]:
-        states = states.unionByName(frame)
-    return rollups_of(states, loads).drop("block")
+        return rollup(spark.createDataFrame([], silver_schema()))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def merge_closed_blocks(spark: SparkSession, deployment: Deployment, number: int) -> None:
+    """Merge the rollups of every block of loads that ends at or below ``number`` into one.
+
+    Rows stay apart by the stream of their load, so that one can still be left out. The mark of a block comes
+    after its files; without it the loads' own rollups count.
+    """
+    done = _merged_blocks(spark, deployment)
+    for block in range(block_of(number + 1)):
+        if block in done or (rollups := _rollups(spark, deployment, [block])) is None:
+            continue
+        marks = marks_above(spark, deployment, block * MARKS_PER_BLOCK - 1)
+        loads = marks.where(F.col("load").isNotNull() & (F.col("block") == block))
+        typed = rollups.withColumn("load", F.col("load").cast("string")).drop("block")
+        rows = typed.join(loads.select("load", "stream").distinct(), "load").drop("load")
+        target = f"{deployment.merged_blocks}/block={block}"
+        merge_rollups(rows, "stream").write.mode("overwrite").parquet(target)
+        mark = spark.createDataFrame([(block,)], "block bigint").coalesce(1)
+        mark.write.mode("append").json(deployment.merged_marks)
 
 
 def refresh_gold(spark: SparkSession, deployment: Deployment, from_all_loads: bool = False) -> int:
@@ -89,7 +132,8 @@ def refresh_gold(spark: SparkSession, deployment: Deployment, from_all_loads: bo
     Writing the slot's mark comes last and switches all tables at once; a refresh that dies half-way
     leaves the current slot alone, and the next one writes the same days again. There must be one
     refresh at a time; a reader has until the end of the next refresh to finish with the slot it
-    opened. The days touched pass through the driver; they are as many as the calendar has.
+    opened. The days touched pass through the driver; they are as many as the calendar has. Views
+    in catalogs follow; blocks of loads that are full are merged for the next rebuild.
     """
     newest = last_refresh(spark, deployment)
     marks = marks_above(spark, deployment, -1 if newest is None else newest["merged"])
@@ -108,7 +152,8 @@ def refresh_gold(spark: SparkSession, deployment: Deployment, from_all_loads: bo
     else:
         above = newest["merged"]
     blocks = range(block_of(max(above, 0)), block_of(max(merged, 0)) + 1)
-    states = _new_states(spark, deployment, valid_loads(marks), blocks)
+    closed = _merged_blocks(spark, deployment) if rebuild else frozenset()
+    states = _new_states(spark, deployment, marks, blocks, closed)
     touched = [row[0] for row in states.select(LOCAL_DAY).distinct().collect()]
     whole = rebuild or newest["rebuilt"] or is_half_written(spark, deployment, slot)
 
@@ -159,6 +204,8 @@ def refresh_gold(spark: SparkSession, deployment: Deployment, from_all_loads: bo
 
     mark(number)
     renew_views(spark, deployment)
+    switch_catalogs(spark, deployment)
+    merge_closed_blocks(spark, deployment, merged)
     return number
 
 

@@ -5,9 +5,11 @@ A deployment is one folder on shared storage::
     raw/YYYY/MM/DD/        landed documents, JSON objects
     silver/load=<id>/status=<ok|corrupt>/datetime_brasil=<day>/
     rollup/block=<b>/load=<id>/      mergeable gold states of that load
+    merged_blocks/block=<b>/         those of a closed block, merged by stream, and merged_marks/
     commits/block=<b>/     a numbered mark per committed load
     compactions/           a mark per compaction of silver loads, which is a load that replaces others
     gold/slot=<0|1>/<merged_rollup|daily_wide>/<day partitions>, weather_codes/, touched/, refresh/
+    catalogs/              databases whose views follow the current slot
     checkpoints/
 
 A load counts from the moment its mark is written, which is the last thing it does; what a failed
@@ -63,6 +65,18 @@ class Deployment:
     def compactions(self) -> str:
         return self._at("compactions")
 
+    @property
+    def merged_blocks(self) -> str:
+        return self._at("merged_blocks")
+
+    @property
+    def merged_marks(self) -> str:
+        return self._at("merged_marks")
+
+    @property
+    def catalogs(self) -> str:
+        return self._at("catalogs")
+
     @property
     def refresh_marks(self) -> str:
         return self._at(f"gold/slot=*/{REFRESH_MARK}")
@@ -93,6 +107,27 @@ def _path_and_files(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def has_folder(spark: SparkSession, folder: str) -> bool:
+    path, files = _path_and_files(spark, folder)
+    return files.exists(path)
+
+
+def has_data(spark: SparkSession, folder: str) -> bool:
+    """Whether there is a data file, in the folder or in folders of partitions."""
+    path, files = _path_and_files(spark, folder)
+    found = files.exists(path) and files.listFiles(path, True)
+    while found and found.hasNext():
+        if not found.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system, the same for every session."""
+    path, files = _path_and_files(spark, folder)
+    return files.makeQualified(path).toString()
+
+
 def folder_bytes(spark: SparkSession, folder: str) -> int:
     """Size of all files in a folder."""
     path, files = _path_and_files(spark, folder)

@@ -144,7 +144,7 @@ def is_half_written(spark: SparkSession, deployment: Deployment, slot: int) -> b
     return marks is not None and not marks.where("refresh < 0").isEmpty()
 
 
-def _current_slot(spark: SparkSession, deployment: Deployment) -> int:
+def current_slot(spark: SparkSession, deployment: Deployment) -> int:
     newest = last_refresh(spark, deployment)
     if newest is None:
         raise ValueError(f"no finished gold refresh in {deployment.root}")
@@ -164,7 +164,8 @@ def stored_gold(spark: SparkSession, deployment: Deployment, slot: int, table: s
     return spark.read.schema(empty.schema).parquet(deployment.gold(slot, table))
 
 
-def _gold(spark: SparkSession, deployment: Deployment, slot: int, name: str) -> DataFrame:
+def current_gold(spark: SparkSession, deployment: Deployment, slot: int, name: str) -> DataFrame:
+    """A gold table, or ``daily_wide``, of a slot."""
     if name == "weather_condition_summary":
         return spark.read.parquet(deployment.gold(slot, WEATHER_CODES))
     wide = stored_gold(spark, deployment, slot, DAILY_WIDE)
@@ -181,14 +182,14 @@ def read_gold(
     """
     if name not in GOLD_TABLES and name != DAILY_WIDE:
         raise ValueError(f"no such gold table: {name}")
-    table = _gold(spark, deployment, _current_slot(spark, deployment), name)
+    table = current_gold(spark, deployment, current_slot(spark, deployment), name)
     return order_for_reading(table, name) if ordered else table
 
 
 def read_all_gold(spark: SparkSession, deployment: Deployment) -> dict[str, DataFrame]:
     """The seven gold tables, all of the same refresh."""
-    slot = _current_slot(spark, deployment)
-    return {name: _gold(spark, deployment, slot, name) for name in GOLD_TABLES}
+    slot = current_slot(spark, deployment)
+    return {name: current_gold(spark, deployment, slot, name) for name in GOLD_TABLES}
 
 
 #: Deployments whose views a session holds, with the location mode.
