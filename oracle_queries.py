@@ -351,6 +351,7 @@ ORACLE_SQL: dict[str, str] = {
         " count(case when event_id % 101 = 0 then 1 end) as rows_corrupt,"
         " count(case when event_id % 101 <> 0 then 1 end) as rows_written from events"
     ),
+    "silver_ledger": _with_docs(f"select {_SILVER_COLUMNS} from docs"),
     "silver_compacted": _with_docs(f"select {_SILVER_COLUMNS} from docs"),
     "raw_stray_brackets": _with_docs(
         "select event_id, case when event_id % 5 = 0 then datetime_utc end as time,"

@@ -18,6 +18,7 @@ from skyledger.operators import alerts, gold
 from skyledger.operators.silver import to_silver, typed_silver
 from skyledger.plans import refresh
 from skyledger.plans.compaction import compact, remove_replaced
+from skyledger.plans.ledger import ingest_new
 from skyledger.plans.storage import Deployment, load_folder, scratch_folder
 from skyledger.sinks.catalog import publish_catalog
 from skyledger.sinks.tables import land_documents, land_lines
@@ -260,6 +261,17 @@ def silver_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, deployment).select(*EVENT_COLUMNS)
 
 
+def silver_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landings in new and in old folders between runs over the ledger: each file arrives once."""
+    deployment = _new_deployment(spark, "ledger")
+    documents = _documents(spark, sf_dir)
+    for part, day in enumerate((SECOND_DAY, FIRST_DAY, SECOND_DAY)):
+        land_documents(documents.where(F.col("event_id") % 3 == part), deployment.raw, day)
+        ingest_new(spark, deployment)
+    ingest_new(spark, deployment)
+    return read_silver(spark, deployment).select(*EVENT_COLUMNS)
+
+
 def gold_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gold tables as another session finds them by name after each of three refreshes."""
     deployment = _new_deployment(spark, "catalog")
@@ -475,6 +487,7 @@ QUERIES: dict[str, Query] = {
         gold_refresh,
         ingest_metrics,
         silver_compacted,
+        silver_ledger,
         gold_catalog,
         raw_stray_brackets,
         silver_stream,

@@ -20,6 +20,7 @@ from skyledger.operators.gold import (
     weather_codes_from_rollup,
 )
 from skyledger.operators.silver import to_silver
+from skyledger.plans.ledger import ingest_new
 from skyledger.plans.storage import (
     MARKS_PER_BLOCK,
     MERGED_ROLLUP,
@@ -236,15 +237,18 @@ def run(
 ) -> int:
     """One periodic run: raw to silver, then, when that is done, silver to gold.
 
-    ``incremental`` takes each raw file once; ``append_full`` appends the whole raw zone on every
+    ``incremental`` takes each raw file once, as a stream; ``ledger`` does so without state that
+    grows on the driver, for deployments that run for years; ``append_full`` appends the whole raw zone on every
     run, so that repeated runs count their records repeatedly.
     """
     if mode == "incremental":
         ingest_available(spark, deployment, raw, **reading)
+    elif mode == "ledger":
+        ingest_new(spark, deployment, raw, **reading)
     elif mode == "append_full":
         append_all(spark, deployment, raw, **reading)
     else:
-        raise ValueError(f"mode must be 'incremental' or 'append_full', not {mode!r}")
+        raise ValueError(f"mode must be 'incremental', 'ledger' or 'append_full', not {mode!r}")
     return refresh_gold(spark, deployment)
 
 

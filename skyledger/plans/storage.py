@@ -9,6 +9,7 @@ A deployment is one folder on shared storage::
     commits/block=<b>/     a numbered mark per committed load
     compactions/           a mark per compaction of silver loads, which is a load that replaces others
     gold/slot=<0|1>/<merged_rollup|daily_wide>/<day partitions>, weather_codes/, touched/, refresh/
+    ledger/<id>/folder=<landing folder>/load=<id>/   files that loads have taken, and ledger_note/
     catalogs/              databases whose views follow the current slot
     checkpoints/
 
@@ -73,6 +74,13 @@ class Deployment:
     def merged_marks(self) -> str:
         return self._at("merged_marks")
 
+    @property
+    def ledger_note(self) -> str:
+        return self._at("ledger_note")
+
+    def ledger(self, name: str) -> str:
+        return self._at(f"ledger/{name}")
+
     @property
     def catalogs(self) -> str:
         return self._at("catalogs")
@@ -122,6 +130,14 @@ def has_data(spark: SparkSession, folder: str) -> bool:
     return False
 
 
+def glob_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that a pattern names; of files that it names, the folders they are in."""
+    path, files = _path_and_files(spark, pattern)
+    found = files.globStatus(path) or []
+    folders = (s.getPath() if s.isDirectory() else s.getPath().getParent() for s in found)
+    return list({folder.toString() for folder in folders})
+
+
 def qualified(spark: SparkSession, folder: str) -> str:
     """The folder with its file system, the same for every session."""
     path, files = _path_and_files(spark, folder)

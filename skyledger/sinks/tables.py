@@ -89,6 +89,11 @@ def _next_place(spark: SparkSession, deployment: Deployment, load_id: str | None
     return _Place(known["number"] + 1, bool(known["committed"]))
 
 
+def next_number(spark: SparkSession, deployment: Deployment) -> int:
+    """The number that the next mark gets."""
+    return _next_place(spark, deployment, None).number
+
+
 def _mark(
     spark: SparkSession,
     deployment: Deployment,
