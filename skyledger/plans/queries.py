@@ -54,6 +54,13 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather_documents(events_table(spark, sf_dir))
 
 
+def _spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents over all cores: an event is a few bytes in one file split, its JSON text many that
+    are written and parsed. Not for landing, where a task writes a file per day."""
+    events = events_table(spark, sf_dir)
+    return weather_documents(events.repartition(spark.sparkContext.defaultParallelism))
+
+
 def _fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather_fields(events_table(spark, sf_dir))
 
@@ -86,7 +93,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One envelope per event: some without records, some with a second, unreadable record."""
-    lines = to_lines(_documents(spark, sf_dir), keep=("event_id",))
+    lines = to_lines(_spread_documents(spark, sf_dir), keep=("event_id",))
     text, event_id = F.col(TEXT_LINE), F.col("event_id")
 
     def record(data: Column) -> Column:
@@ -124,7 +131,7 @@ def envelope_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON text to silver; the ingestion columns depend on the clock and are left out."""
-    lines = to_lines(_documents(spark, sf_dir))
+    lines = to_lines(_spread_documents(spark, sf_dir))
     return to_silver(well_formed(parse_documents(lines))).select(*EVENT_COLUMNS)
 
 
@@ -309,7 +316,7 @@ STRAY_BRACKETS = ("", "]} [ {", '],"b":[{}', " }", "]}")
 
 def raw_stray_brackets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents followed by stray brackets are no documents."""
-    lines = to_lines(_documents(spark, sf_dir), keep=("event_id",))
+    lines = to_lines(_spread_documents(spark, sf_dir), keep=("event_id",))
     stray = F.get(F.array(*map(F.lit, STRAY_BRACKETS)), F.col("event_id") % len(STRAY_BRACKETS))
     behind = lines.select("event_id", F.concat(TEXT_LINE, stray).alias(TEXT_LINE))
     parsed = parse_documents(behind, keep=["event_id"])
@@ -393,7 +400,7 @@ def silver_after_failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _odd_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One envelope per event and line: some broken, some of another shape, some with a payload of
     two documents, some followed by a second envelope."""
-    lines = to_lines(_documents(spark, sf_dir), keep=("event_id",))
+    lines = to_lines(_spread_documents(spark, sf_dir), keep=("event_id",))
     text, event_id = F.col(TEXT_LINE), F.col("event_id")
 
     def whole(payload: Column) -> Column:
