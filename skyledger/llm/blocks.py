@@ -1,6 +1,8 @@
 """Texts in blocks of bounded size, and exchanges of packed arrays between blocks and slices.
 
-A block holds whole documents, dealt by a hash of the id, so no key can make one block large. What
+A block holds whole documents, dealt by a hash of the id, the text and the place of the row in its
+table, so that no id and no number of equal rows can make one block large. The table must give its rows in one
+order when it is read again, as files do. What
 blocks have to tell each other (hashes of windows, counts) goes as packed arrays, one row per block
 and slice of the key space, to the task of the slice and, aligned with what was sent, back to the
 block. Keys are counted once per block before they travel, so a frequent key adds one entry per
@@ -256,7 +258,7 @@ def blocks_of(docs: DataFrame, carry: tuple[str, ...] = ()) -> Blocks:
     size = total_bytes(texts)
     n_parts = max(shuffle_partitions(docs.sparkSession), -(-size // TASK_BYTES))
     n_blocks = max(LEAST_BLOCKS, -(-size // BLOCK_BYTES))
-    key = F.xxhash64(F.coalesce("doc_id", F.xxhash64("text")))
+    key = F.xxhash64("doc_id", F.xxhash64("text"), F.monotonically_increasing_id())
     frame = texts.withColumn("block", F.pmod(key, F.lit(n_blocks)))
     return Blocks(frame.repartition(n_parts, "block"), n_blocks, n_parts, size)
 
@@ -274,14 +276,19 @@ def by_slice(
 
 
 def per_slice(
-    sent: DataFrame, function: Callable[[int, dict[str, list]], Iterator[dict]], schema: str
+    sent: DataFrame,
+    n_slices: int,
+    function: Callable[[int, dict[str, list]], Iterator[dict]],
+    schema: str,
 ) -> DataFrame:
-    """``function`` on all rows of each slice, as lists of columns."""
+    """``function`` on all rows of each slice, as lists of columns. There are as many tasks as slices
+    at least, so that a task does not grow with their number."""
+    n_parts = max(shuffle_partitions(sent.sparkSession), n_slices)
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         return _table(function(key[0].as_py(), table.to_pydict()), schema)
 
-    return sent.groupBy("slice").applyInArrow(run, schema)
+    return sent.repartition(n_parts, "slice").groupBy("slice").applyInArrow(run, schema)
 
 
 # --- count-min sketch
@@ -354,7 +361,8 @@ class Sketch:
             yield {"block": rows["block"], "slice": rows["slice"], "answer": answers}
 
         sent = blocks.each(send, "slice long, block long, cells binary, counts binary")
-        return per_slice(sent, add, "block long, slice long, answer binary")
+        n_slices = self.depth << (self.bits - self.slice_bits)
+        return per_slice(sent, n_slices, add, "block long, slice long, answer binary")
 
     def estimates(self, keys: np.ndarray, answers: pa.Table) -> np.ndarray:
         """Estimated count of each of the ascending, distinct ``keys`` of the block."""

@@ -13,12 +13,14 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from collections.abc import Iterable, Iterator
+import unicodedata
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 
 from skyledger.llm.common import map_batches, texts_of
@@ -27,7 +29,7 @@ from skyledger.llm.common import map_batches, texts_of
 REMEMBERED_WORDS = 500_000
 WORDS_AT_ONCE = 150_000
 
-#: The pattern of the public vocabularies, and what it means for texts below U+0250, where letters,
+#: The pattern of the public vocabularies (a fixed value), and what it means for texts below U+0250, where letters,
 #: digits and white space are a few ranges and the plain expression module is faster.
 PUBLIC_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -158,12 +160,53 @@ def replay(words: list[bytes], vocab: Vocabulary) -> list[bytes]:
     return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
+#: A character that is no letter, number or space in any version of the character database.
+_OTHER = 0xFFFE
+
+
+@cache
+def _classless() -> tuple[re.Pattern, dict[int, int]]:
+    """Characters that the ``regex`` module takes for letters or numbers and the library for neither,
+    to look for and to replace; newer versions of the standard give more characters a class.
+
+    Only characters that the database of this Python does not know can be such. The library splits
+    one from a letter and a digit, so that it does not use the token of both.
+    """
+    found = regex.compile(r"[\p{L}\p{N}]")
+    unknown = [
+        c for c in map(chr, range(0x250, 0x110000))
+        if unicodedata.category(c) == "Cn" and found.match(c)
+    ]
+    tokens = {bytes([b]): b for b in range(256)}
+    for pair in (before + c for c in unknown for before in "a1"):
+        tokens[pair.encode()] = len(tokens)
+    probe = tiktoken.Encoding(
+        "probe", pat_str=PUBLIC_PATTERN, mergeable_ranks=tokens, special_tokens={}
+    )
+    apart = [c for c in unknown if all(len(probe.encode_ordinary(b + c)) > 1 for b in "a1")]
+    pattern = re.compile(f"[{re.escape(''.join(apart))}]" if apart else r"(?!)")
+    return pattern, {ord(c): _OTHER for c in apart}
+
+
+def _split_as_library(pattern: str) -> Callable[[str], list[str]]:
+    """All matches of the pattern, with letters and numbers as the library knows them."""
+    compiled = regex.compile(pattern)
+
+    def split(text: str) -> list[str]:
+        apart, hidden = _classless()
+        if not apart.search(text):
+            return compiled.findall(text)
+        return [text[m.start() : m.end()] for m in compiled.finditer(text.translate(hidden))]
+
+    return split
+
+
 class Encoder:
     """Encodes texts in groups, replaying the merges of words not seen before."""
 
     def __init__(self, path: str, pattern: str, remembered: int = REMEMBERED_WORDS):
         self.vocab = vocabulary(path)
-        self.split = regex.compile(pattern).findall
+        self.split = _split_as_library(pattern)
         if pattern == PUBLIC_PATTERN:
             latin, other = re.compile(LATIN_PATTERN).findall, self.split
             self.split = lambda text: (latin if max(text, default="") < _BELOW else other)(text)

@@ -3,11 +3,14 @@
 A paragraph is a line. Its leaves are groups of words: four groups of four, then groups of sixteen.
 A section is a run of paragraphs that ends where the digest of a paragraph says so, hence a
 paragraph put in or taken out moves no section but its own. Every byte of the text lies in one leaf
-or is a separator that the structure implies, so equal roots mean equal texts.
+or is a separator that the structure implies. The digest of a paragraph is that of its leaves'
+digests, the digest of a section that of its paragraphs', and the root that of the sections', so
+equal roots mean equal texts as far as 64-bit digests tell texts apart.
 
 The fingerprint is text: version, root, then the digests of the leaves, ``,`` between leaves, ``/``
-between paragraphs and ``;`` between sections. Inner digests follow from it, so two fingerprints can
-be compared from the root down without the texts.
+between paragraphs and ``;`` between sections. The whole tree follows from it (``tree_of``), so two
+fingerprints can be compared from the root down without the texts, and a root that does not belong
+to its branches is seen.
 """
 
 from __future__ import annotations
@@ -21,14 +24,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from skyledger.llm.common import TASK_BYTES, map_batches, shuffle_partitions, texts_of, total_bytes
 
-VERSION = "m1"
+VERSION = "m2"
 SHORT_LEAF, SHORT_LEAVES, LONG_LEAF = 4, 4, 16
 #: A section ends after a paragraph with a digest divisible by it: paragraphs per section.
 SECTION = 4
 
 
-def _digest(data: bytes, size: int = 4) -> str:
-    return blake2b(data, digest_size=size).hexdigest()
+_DIGEST_BYTES = 8
+
+
+def _digest(data: bytes) -> str:
+    return blake2b(data, digest_size=_DIGEST_BYTES).hexdigest()
 
 
 def _leaves(paragraph: str) -> list[str]:
@@ -39,17 +45,37 @@ def _leaves(paragraph: str) -> list[str]:
     return [_digest(p.encode("utf-8", "surrogatepass")) for p in parts]
 
 
+def _parent(children: list[str]) -> str:
+    return _digest(",".join(children).encode())
+
+
 def fingerprint_of(text: str) -> str:
     sections: list[list[str]] = [[]]
+    digests: list[list[str]] = [[]]  # of the paragraphs of each section
     for paragraph in text.split("\n"):
-        leaves = ",".join(_leaves(paragraph))
-        if sections[-1] and int(_digest(sections[-1][-1].encode()), 16) % SECTION == 0:
+        leaves = _leaves(paragraph)
+        if digests[-1] and int(digests[-1][-1], 16) % SECTION == 0:
             sections.append([])
-        sections[-1].append(leaves)
+            digests.append([])
+        sections[-1].append(",".join(leaves))
+        digests[-1].append(_parent(leaves))
     body = ";".join("/".join(section) for section in sections)
-    root = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8)
-    root.update("".join(_digest("/".join(s).encode(), 8) for s in sections).encode())
-    return f"{VERSION}:{root.hexdigest()}:{body}"
+    return f"{VERSION}:{_parent([_parent(d) for d in digests])}:{body}"
+
+
+def tree_of(fingerprint: str) -> tuple[str, list[tuple[str, list[str]]]]:
+    """Root, and the digest of each section with those of its paragraphs, computed from the leaves."""
+    sections = [
+        [_parent(paragraph.split(",")) for paragraph in section.split("/")]
+        for section in fingerprint.split(":", 2)[2].split(";")
+    ]
+    digests = [_parent(paragraphs) for paragraphs in sections]
+    return _parent(digests), list(zip(digests, sections, strict=True))
+
+
+def is_sound(fingerprint: str) -> bool:
+    """Whether the root is that of the leaves."""
+    return _root(fingerprint) == tree_of(fingerprint)[0]
 
 
 def _root(fingerprint: str) -> str:

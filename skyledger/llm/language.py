@@ -26,6 +26,7 @@ from skyledger.llm.common import map_batches, text_columns
 
 ORDER = 4
 SAMPLE_DOCS = 2000
+LEAST_SAMPLE = 20
 CALIBRATION_SHARE = 0.2
 #: Letters a text needs to be rejected; below SHORT_LETTERS a name or a key is much of a text.
 LEAST_LETTERS = 20
@@ -321,8 +322,8 @@ def fit(
     the same id are in it together; a null id counts as any other value. Without any labelled row
     the model has no language. A language with fewer than ``LEAST_CALIBRATION`` calibration texts
     rejects what its model explains no better than an even guess among all symbols. While the model
-    has more than ``max_bytes``, it is fitted again with at most half of the sample, down to one
-    document per language.
+    has more than ``max_bytes``, it is fitted again with at most half of the sample, down to
+    ``LEAST_SAMPLE`` documents per language, fewer of which could leave a language without any.
     """
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "doc_id", "lang", "text"
@@ -330,6 +331,7 @@ def fit(
     sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     if not sizes:
         return Model([], [], [], [], [], np.zeros(0), np.zeros((len(MARGINS), 0)))
+    sample_docs = min(sample_docs, max(sizes.values()))
     draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     held = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(1000)) < 1000 * CALIBRATION_SHARE
 
@@ -342,10 +344,11 @@ def fit(
     while True:
         sample = drawn(sample_docs)
         model = build_model(_collected(gram_counts(sample.where(~held))))
-        if model.nbytes <= max_bytes or sample_docs == 1:
+        if model.nbytes <= max_bytes or sample_docs <= LEAST_SAMPLE:
             break
         # a smaller sample is part of a larger one
-        sample_docs = max(1, min(sample_docs // 2, sample_docs * max_bytes // model.nbytes))
+        smaller = min(sample_docs // 2, sample_docs * max_bytes // model.nbytes)
+        sample_docs = max(LEAST_SAMPLE, smaller)
     if not model.languages:
         return model
     shared = usable.sparkSession.sparkContext.broadcast(model)

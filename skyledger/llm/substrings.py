@@ -145,7 +145,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         repeated,
         "slice long, block long, first binary, second binary, id binary, word binary",
     )
-    found = per_slice(sent, across, "block long, word binary")
+    found = per_slice(sent, blocks.n_slices, across, "block long, word binary")
     return blocks.with_answers(
         found, strip, "doc_id long, n_words long, n_removed long, kept_text string"
     )

@@ -311,7 +311,7 @@ def remove_repeats(
         "slice long, block long, key binary, second binary, offset binary, windows binary,"
         " weight binary, at binary, bytes binary",
     )
-    settled = per_slice(sent, across, "block long, at binary, n binary")
+    settled = per_slice(sent, blocks.n_slices, across, "block long, at binary, n binary")
     result = T.StructType.fromDDL(
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept "
         + ("string" if as_text else "binary")

@@ -2,8 +2,9 @@ from __future__ import annotations
 
 import base64
 import random
+import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -50,6 +51,30 @@ def test_replay_equals_the_library(encoding, text):
     assert np.frombuffer(got, "<u4").tolist() == encoding.encode_ordinary(text)
 
 
+def test_every_character_is_split_as_by_the_library(encoding):
+    """Each code point behind a letter, a digit and a mark: the library gives one token for both if
+    it does not split them."""
+    split = bpe.Encoder(RANKS, public_tokenizers.PATTERN).split
+    chars = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for k in range(0, len(chars), 50_000):
+        pairs = [before + c for c in chars[k : k + 50_000] for before in "a1!"]
+        tokens = {bytes([b]): b for b in range(256)} | {
+            pair.encode(): 256 + i for i, pair in enumerate(pairs)
+        }
+        probe = tiktoken.Encoding(
+            "probe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tokens, special_tokens={}
+        )
+        whole = {pair for pair in pairs if len(probe.encode_ordinary(pair)) == 1}
+        assert whole == set(pairs) & set(split("\n".join(pairs)))
+
+
+def test_characters_of_newer_versions(encoding):
+    encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    texts = ["\U00019036澽 a\U00019036 1\U00019036\U00019036", "x\U0003d000", "\u0c5c\u0c5cé 2\U00011de0"]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == encoding.encode_ordinary(text)
+
+
 def test_replay_with_a_small_memory(encoding, odd_rows):
     encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN, remembered=5)
     texts = [t or "" for _, t, *_ in odd_rows] * 2
@@ -252,17 +277,17 @@ def test_forty_languages_and_a_small_budget(spark):
     r = random.Random(4)
     rows = []
     for k in range(40):
-        letters = [chr(0x4E00 + 400 * k + i) for i in range(300)]
-        rows += [(len(rows) + i, "".join(r.choices(letters, k=400)), f"l{k}") for i in range(8)]
+        letters = [chr(0x4E00 + 400 * k + i) for i in range(20)]
+        rows += [(len(rows) + i, "".join(r.choices(letters, k=60)), f"l{k}") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     whole = language.fit(docs)
-    small = language.fit(docs, max_bytes=whole.nbytes // 2)
-    assert small.nbytes <= whole.nbytes // 2
+    small = language.fit(docs, max_bytes=whole.nbytes * 3 // 4)
+    assert small.nbytes <= whole.nbytes * 3 // 4
     for model in (whole, small):
         found = {r.doc_id: r.lang_pred for r in language.identify(docs, model).collect()}
         right = sum(found[i] == lang for i, _, lang in rows)
         assert set(found) == {i for i, *_ in rows} and right >= 0.95 * len(rows)
-    assert language.fit(docs, max_bytes=1).nbytes > 1  # one document each, whatever it takes
+    assert len(language.fit(docs, max_bytes=1).languages) == 40  # whatever it takes
 
 
 def test_language_of_odd_documents(odd, odd_rows, none, sample):
@@ -291,6 +316,53 @@ def test_equal_fingerprints_mean_equal_texts(a, b):
     assert fingerprint.likeness(one, two) == fingerprint.likeness(two, one)
 
 
+def plain_tree(text):
+    """Leaves as (section, paragraph, text) and the root, by the words of the description."""
+    from hashlib import blake2b
+
+    def digest(parts):
+        return blake2b(",".join(parts).encode(), digest_size=8).hexdigest()
+
+    sections, leaves = [[]], []
+    for paragraph in text.split("\n"):
+        words = paragraph.split(" ")
+        cuts = [0, 4, 8, 12] + list(range(16, len(words), 16))
+        cuts = [c for c in cuts if c < len(words)]
+        parts = [" ".join(words[a:b]) for a, b in zip(cuts, cuts[1:] + [len(words)])]
+        own = [blake2b(p.encode(), digest_size=8).hexdigest() for p in parts]
+        if sections[-1] and int(sections[-1][-1], 16) % 4 == 0:
+            sections.append([])
+        sections[-1].append(digest(own))
+        leaves += own
+    return leaves, digest([digest(s) for s in sections])
+
+
+def test_the_tree_follows_from_the_leaves(odd_rows):
+    for _, text, *_ in odd_rows:
+        print_ = fingerprint.fingerprint_of(text or "")
+        leaves, root = plain_tree(text or "")
+        version, told, body = print_.split(":", 2)
+        assert re.split("[,/;]", body) == leaves and told == root
+        assert fingerprint.is_sound(print_) and fingerprint.tree_of(print_)[0] == root
+        wrong = body[:-1] + ("0" if body[-1] != "0" else "1")
+        assert not fingerprint.is_sound(f"{version}:{told}:{wrong}")
+
+
+def plain_likeness(a, b):
+    """Two times the leaves that both have, by the leaves of both."""
+    left, right = (Counter(plain_tree(t)[0]) for t in (a, b))
+    both = sum((left & right).values())
+    return 1.0 if a == b else min(2 * both / (left.total() + right.total()), 1 - 2**-20)
+
+
+def test_likeness_counts_common_leaves(odd_rows):
+    texts = [t or "" for _, t, *_ in odd_rows]
+    prints = [fingerprint.fingerprint_of(t) for t in texts]
+    for a, one in zip(texts, prints, strict=True):
+        for b, two in zip(texts, prints, strict=True):
+            assert fingerprint.likeness(one, two) == pytest.approx(plain_likeness(a, b), abs=1e-12)
+
+
 def test_an_edit_is_located():
     lines = [f"line {k} with some words of its own {k * k}" for k in range(40)]
     changed = list(lines)
