@@ -165,9 +165,9 @@ _OTHER = 0xFFFE
 
 
 @cache
-def _classless() -> tuple[re.Pattern, dict[int, int]]:
-    """Characters that the ``regex`` module takes for letters or numbers and the library for neither,
-    to look for and to replace; newer versions of the standard give more characters a class.
+def _classless() -> frozenset[str]:
+    """Characters that the ``regex`` module takes for letters or numbers and the library for neither;
+    newer versions of the standard give more characters a class.
 
     Only characters that the database of this Python does not know can be such. The library splits
     one from a letter and a digit, so that it does not use the token of both.
@@ -183,9 +183,9 @@ def _classless() -> tuple[re.Pattern, dict[int, int]]:
     probe = tiktoken.Encoding(
         "probe", pat_str=PUBLIC_PATTERN, mergeable_ranks=tokens, special_tokens={}
     )
-    apart = [c for c in unknown if all(len(probe.encode_ordinary(b + c)) > 1 for b in "a1")]
-    pattern = re.compile(f"[{re.escape(''.join(apart))}]" if apart else r"(?!)")
-    return pattern, {ord(c): _OTHER for c in apart}
+    return frozenset(
+        c for c in unknown if all(len(probe.encode_ordinary(b + c)) > 1 for b in "a1")
+    )
 
 
 def _split_as_library(pattern: str) -> Callable[[str], list[str]]:
@@ -193,9 +193,9 @@ def _split_as_library(pattern: str) -> Callable[[str], list[str]]:
     compiled = regex.compile(pattern)
 
     def split(text: str) -> list[str]:
-        apart, hidden = _classless()
-        if not apart.search(text):
+        if _classless().isdisjoint(text):
             return compiled.findall(text)
+        hidden = {ord(c): _OTHER for c in _classless().intersection(text)}
         return [text[m.start() : m.end()] for m in compiled.finditer(text.translate(hidden))]
 
     return split
