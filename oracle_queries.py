@@ -41,6 +41,15 @@ def _mean(column: str) -> str:
     )
 
 
+def _millionths(column: str) -> str:
+    # Exact half-up to two decimals of the mean of whole millionths.
+    total, n = f"sum(cast({column} as hugeint))", "count(*)"
+    return (
+        f"cast(sign({total}) * ((2 * abs({total}) + 10000 * {n}) // (20000 * {n})) as double)"
+        " / cast(100 as double)"
+    )
+
+
 def _extreme(function: str, column: str) -> str:
     return f"round({function}({column}), 2)"
 
@@ -368,5 +377,18 @@ ORACLE_SQL: dict[str, str] = {
         *_ALERTS,
         _RECORDS,
     ),
+    "alerts_outbox": _with_docs(
+        "select distinct i.datetime_utc, i.location_name, i.label, d.subject, d.message"
+        " from records r join inputs i using (event_id) join digests d using (event_id)"
+        " where r.decode_error is null",
+        *_ALERTS,
+        _RECORDS,
+    ),
+    "means_of_six_decimals": _with_docs(
+        f"select {_PLACE}, datetime_brasil as date,"
+        f" {_millionths('(event_id * 7919) % 60000000')} as avg_temperature,"
+        f" {_millionths('-((event_id * 104729) % 999983)')} as avg_humidity"
+        f" from docs group by {_PLACE}, datetime_brasil"
+    ),
     "raw_to_gold": _with_docs(" union all ".join(_LONG)),
 }

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from skyledger.functions.rounding import high_bits, low_bits, mean_2, round_2, whole_units
+from skyledger.functions.rounding import high_bits, left_nanos, low_bits, mean_2, round_2, whole_units
 
 
 GROUP_ROWS = "group__rows"
@@ -24,20 +24,21 @@ GROUP_ROWS = "group__rows"
 class Mean:
     column: str
 
-    def _names(self) -> tuple[str, str, str, str, str]:
-        c = self.column
-        return f"{c}__high", f"{c}__low", f"{c}__unit_rows", f"{c}__total", f"{c}__rows"
+    def _names(self) -> tuple[str, ...]:
+        parts = ("high", "low", "nanos", "unit_rows", "total", "rows")
+        return tuple(f"{self.column}__{part}" for part in parts)
 
     def inputs(self) -> dict[str, Column]:
         value = F.col(self.column)
         return {self.column: value, f"{self.column}__units": whole_units(value)}
 
     def states(self) -> dict[str, Column]:
-        high, low, unit_rows, total, rows = self._names()
+        high, low, nanos, unit_rows, total, rows = self._names()
         units = F.col(f"{self.column}__units")
         return {
             high: F.sum(high_bits(units)),
             low: F.sum(low_bits(units)),
+            nanos: F.sum(left_nanos(F.col(self.column), units)),
             unit_rows: F.count(units),
             total: F.sum(self.column),
             rows: F.count(self.column),

@@ -41,7 +41,7 @@ from skyledger.sources.schema import (
     snake_case,
 )
 from skyledger.sources.tables import read_all_gold, read_gold, read_silver
-from skyledger.streaming.alerts import digests_of, undecoded_of, write_digests
+from skyledger.streaming.alerts import digests_of, publish_once, undecoded_of, write_digests
 from skyledger.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,6 +268,40 @@ def silver_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, deployment).select(*EVENT_COLUMNS)
 
 
+def means_of_six_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of values with six decimals, from rollups of parts merged in no order."""
+    millionths = "cast((event_id * {}) % {} as double) / cast(1000000 as double)"
+    fields = _fields(spark, sf_dir).withColumns(
+        {
+            "temperature": F.expr(millionths.format(7919, 60_000_000)),
+            "humidity": F.expr(f"-({millionths.format(104_729, 999_983)})"),
+        }
+    )
+    silver = typed_silver(fields, keep=["event_id"])
+    parts = (gold.rollup(silver.where(F.col("event_id") % 3 == part)) for part in range(3))
+    daily = gold.daily_wide_from_rollup(reduce(DataFrame.unionByName, parts))
+    return daily.select(*LOCATION_KEY, "date", "avg_temperature", "avg_humidity")
+
+
+def alerts_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests through the outbox, the same envelopes twice in it and the whole stream once more with a
+    lost checkpoint: what was sent, each digest once."""
+    folder = scratch_folder(spark, "outbox")
+    envelopes = _envelopes(spark, sf_dir).select(TEXT_LINE)
+    for _ in range(2):
+        envelopes.write.mode("append").text(f"{folder}/envelopes")
+
+    def send(digests: DataFrame, number: int) -> None:
+        digests.write.mode("append").parquet(f"{folder}/received")
+
+    for checkpoint in ("first", "second"):
+        digests = digests_of(envelope.stream_envelopes(spark, f"{folder}/envelopes"))
+        query = publish_once(digests, send, f"{folder}/outbox", f"{folder}/{checkpoint}")
+        query.awaitTermination()
+    received = spark.read.parquet(f"{folder}/received")
+    return received.select("datetime_utc", "location_name", "label", "subject", "message")
+
+
 def silver_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landings in new and in old folders between runs over the ledger: each file arrives once."""
     deployment = _new_deployment(spark, "ledger")
@@ -499,6 +533,8 @@ QUERIES: dict[str, Query] = {
         raw_stray_brackets,
         silver_stream,
         alerts_stream,
+        alerts_outbox,
+        means_of_six_decimals,
         raw_to_gold,
     )
 }

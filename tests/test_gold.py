@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import functools
 import math
+import random
 from datetime import date
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -57,6 +59,36 @@ def test_mean_of_values_with_many_decimals(spark):
     assert mean_of(spark, [1.00000001, 2.00000003, 3.0]) == 2.0
 
 
+def test_means_do_not_depend_on_the_order_of_rows(spark):
+    """Bit-equal means of shuffled copies, in one aggregate and merged from parts."""
+    values = [math.pi * k - 900 for k in range(500)] + [k / 3_000_000 for k in range(500)]
+    values += [0.005 - 1e-6, 0.005 + 1e-6, 1e-12, -1e-12, 123456.654321]
+    seen = set()
+    for seed in range(4):
+        random.Random(seed).shuffle(values)
+        rows = silver(spark, *({"temperature": v} for v in values)).repartition(2 + seed)
+        one = gold.daily_wide(rows).first().avg_temperature
+        halves = [gold.rollup(rows.where(f"pmod(hash(temperature), 3) = {k}")) for k in range(3)]
+        states = functools.reduce(lambda a, b: a.unionByName(b), halves)
+        seen |= {one, gold.daily_wide_from_rollup(states).first().avg_temperature}
+    exact = sum(Decimal(repr(v)) for v in values) / len(values)
+    assert seen == {float(exact.quantize(Decimal("0.01"), ROUND_HALF_UP))}
+
+
+@pytest.mark.parametrize(
+    "values, expected",
+    [
+        ((0.004999, 0.005001), 0.01),  # exactly 0.005
+        ((-0.004999, -0.005001), -0.01),
+        ((2.674998, 2.675001), 2.67),
+        ((1.000001, 1.009999), 1.01),  # exactly 1.005
+        ((1234567.123456, 1234567.126544), 1234567.13),  # exactly .125
+    ],
+)
+def test_means_of_values_with_six_decimals(spark, values, expected):
+    assert mean_of(spark, values) == expected
+
+
 def test_mean_of_nan_and_infinity(spark):
     assert math.isnan(mean_of(spark, [1.0, math.nan]))
     assert mean_of(spark, [1.0, math.inf]) == math.inf

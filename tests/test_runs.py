@@ -30,10 +30,11 @@ from skyledger.sources.tables import (
     read_silver_jdbc,
     register_views,
 )
-from skyledger.streaming import ingest
+from skyledger.streaming import alerts as alert_stream, ingest
 from skyledger.streaming.alerts import (
     digests_of,
     publish_digests,
+    publish_once,
     undecoded_of,
     write_digests,
 )
@@ -444,6 +445,53 @@ def test_published_digests(spark, tmp_path, documents):
     assert sum(sent) == digests_of(read_envelopes(spark, inbox)).count()
 
 
+def test_a_repeated_batch_sends_nothing_twice(spark, tmp_path, documents):
+    inbox, outbox, checkpoint = (str(tmp_path / n) for n in ("in", "outbox", "cp"))
+    received = []
+
+    def send(batch, number):
+        received.extend((r.digest_id, r.message) for r in batch.collect())
+
+    def run(folder=checkpoint):
+        stream = digests_of(stream_envelopes(spark, inbox))
+        publish_once(stream, send, outbox, folder).awaitTermination()
+
+    sinks.send_documents(documents.where("event_id % 2 = 0"), inbox)
+    mark = alert_stream._mark_sent
+
+    def mark_and_die(*args):
+        mark(*args)
+        raise RuntimeError("lost")
+
+    with patch.object(alert_stream, "_mark_sent", mark_and_die):
+        with pytest.raises(Exception, match="lost"):
+            run()
+    first = list(received)
+    assert first
+    run()  # the batch comes again
+    assert received == first
+    sinks.send_documents(documents, inbox)  # half of the envelopes are new
+    run()
+    run(str(tmp_path / "another"))  # everything comes again
+    expected = digests_of(read_envelopes(spark, inbox)).distinct()
+    assert len(received) == len(set(received)) == expected.count()
+    assert sorted(m for _, m in received) == sorted(r.message for r in expected.collect())
+
+
+def test_a_digest_without_a_time_is_sent(spark, tmp_path):
+    row = [(None, "A", "A", False, "s", "m")] * 2
+    digests = spark.createDataFrame(
+        row, "datetime_utc string, location_name string, label string, location_incomplete boolean,"
+        " subject string, message string"
+    )
+    sent = []
+    for number in range(2):
+        alert_stream.deliver(
+            digests, number, lambda batch, n: sent.append(batch.count()), str(tmp_path / "outbox")
+        )
+    assert sent == [1, 0]
+
+
 def test_relational_sinks_pass_their_options(spark, documents):
     frame = spark.range(1)
     with patch.object(DataFrameWriter, "jdbc") as jdbc:
