@@ -23,8 +23,10 @@ from skyledger.llm.components import components
 from skyledger.llm.hnsw import Graph
 
 SHARDS = 12
-#: Beyond SHARDS times this many vectors there are more shards, each of about this size.
-SHARD_VECTORS = 100_000
+#: Beyond SHARDS times this many bytes of vectors there are more shards, each of about this size.
+SHARD_BYTES = 64 << 20
+#: Bytes of a component in a shard, in single and in double precision.
+COMPONENT_BYTES = 12
 FIRST_BEAM = 24
 #: Beyond this beam plain products answer.
 WIDEST_BEAM = 384
@@ -257,7 +259,8 @@ def near_vectors(
         .withColumn("dim", F.size("vector")),
         "vectors",
     )
-    n_shards = max(n_shards, -(-reps.count() // SHARD_VECTORS))
+    size = COMPONENT_BYTES * (reps.agg(F.sum("dim")).first()[0] or 0)
+    n_shards = max(n_shards, -(-size // SHARD_BYTES))
     columns = ["dim", "shard", "query", "rep", "copies", "vector"]
     own = reps.withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(n_shards)).cast("int"))
     own = own.withColumn("query", F.lit(_OWN)).select(columns)
