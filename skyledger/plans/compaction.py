@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from skyledger.plans.storage import Deployment, folder_bytes, load_folder, remove_folder
 from skyledger.sources.commits import (
@@ -32,7 +32,12 @@ from skyledger.sources.schema import (
 from skyledger.sources.tables import silver_of_sources
 
 FILE_BYTES = 256 << 20
+#: Rows that a task sorts, in memory: there a row may take thirty times its bytes in a file.
+TASK_BYTES = 512 << 20
 LEAST_LOADS = 2
+#: A column of a row that is sorted, in bytes, and the row's places in the sorter besides.
+_COLUMN_BYTES = 8
+_ROW_BYTES = 64
 
 
 def _chosen(sources: list[Source], gone: list[str]) -> list[Source]:
@@ -57,6 +62,15 @@ def _with_streams(rows: DataFrame, sources: list[Source]) -> DataFrame:
     return joined.withColumn(ORIGIN_STREAM, F.coalesce("own_stream", ORIGIN_STREAM))
 
 
+def _sorted_bytes(rows: DataFrame) -> int:
+    """What the rows take in memory when they are sorted: 8 bytes a column and the texts themselves."""
+    texts = [f.name for f in rows.schema if isinstance(f.dataType, T.StringType)]
+    # padded to whole words, as rows hold them
+    lengths = [F.coalesce(F.octet_length(c) + F.lit(7), F.lit(0)).cast("bigint") for c in texts]
+    fixed = _ROW_BYTES + _COLUMN_BYTES * len(rows.columns)
+    return rows.agg(F.sum(sum(lengths, F.lit(fixed).cast("bigint")))).first()[0] or 0
+
+
 def _arranged(rows: DataFrame, files: int) -> DataFrame:
     """In the order of day and location, in ``files`` parts of about one size.
 
@@ -75,6 +89,7 @@ def compact(
     location_mode: str = "string",
     file_bytes: int = FILE_BYTES,
     least_loads: int = LEAST_LOADS,
+    task_bytes: int = TASK_BYTES,
 ) -> str | None:
     """Rewrite the committed loads since the last compaction; the name of the load that stands for
     them now, or None where there are fewer than ``least_loads``.
@@ -83,6 +98,9 @@ def compact(
     sees the loads as they were, and a compaction that dies leaves files that nobody reads. A reader
     that opened silver before keeps the files it listed, since they are left where they are until
     ``remove_replaced``. Gold is not touched. There must be one compaction at a time, and none beside a load.
+
+    A task writes about ``file_bytes`` of files or sorts about ``task_bytes`` of rows in memory, whichever
+    is less: equal values take next to nothing in a file, and in memory as much as any.
     """
     sources, gone = silver_sources(spark, deployment)
     chosen = _chosen(sources, gone)
@@ -93,7 +111,9 @@ def compact(
     columns = [*SILVER_COLUMNS, CORRUPT, STATUS, ORIGIN_STREAM]
     first, last = min(s.first for s in chosen), max(s.last for s in chosen)
     load = f"compact-{first}-{last}-{uuid.uuid4().hex}"
-    arranged = _arranged(_with_streams(rows, chosen).select(*columns), max(1, -(-size // file_bytes)))
+    in_memory = _sorted_bytes(rows.select(*columns))
+    parts = max(1, -(-size // file_bytes), -(-in_memory // task_bytes))
+    arranged = _arranged(_with_streams(rows, chosen).select(*columns), parts)
     arranged.write.mode("overwrite").partitionBy(STATUS, LOCAL_DAY).parquet(
         load_folder(deployment.silver, load)
     )

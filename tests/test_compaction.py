@@ -183,3 +183,28 @@ def test_a_large_day_is_cut_by_place(spark, deployment, tmp_path):
     assert "EqualTo(location_name,Place150" in scan.split("PushedFilters: ")[1].split("\n")[0]
     fits = [a <= "Place150, m, s, b" <= b for a, b in ranges]
     assert sum(fits) <= 2  # the statistics of the others rule them out
+
+
+def test_rows_that_files_hold_in_few_bytes_are_sorted_in_many_parts(spark, deployment):
+    """Equal rows: a few kB of files, and in memory some 400 bytes each."""
+    same = weather_documents(events_table(spark, DATA).limit(1)).drop("event_id")
+    documents = same.crossJoin(spark.range(20_000)).drop("id")
+    for number in range(2):
+        load(spark, deployment, documents, number)
+    counted = {}
+
+    def spy(rows, files):
+        counted["parts"] = arranged(rows, files)
+        return counted["parts"]
+
+    arranged = compaction._arranged
+    with patch.object(compaction, "_arranged", spy):
+        assert compact(spark, deployment, task_bytes=1 << 20) is not None
+    sizes = [
+        r["count"] for r in counted["parts"].groupBy(F.spark_partition_id()).count().collect()
+    ]
+    assert sum(sizes) == 40_000
+    # twice the share, since the cuts come from a sample
+    assert max(sizes) * 350 <= 2 << 20
+    silver = read_silver(spark, deployment)
+    assert silver.count() == 40_000 and silver.distinct().count() <= 2
