@@ -478,6 +478,28 @@ def test_a_repeated_batch_sends_nothing_twice(spark, tmp_path, documents):
     assert sorted(m for _, m in received) == sorted(r.message for r in expected.collect())
 
 
+def test_digests_are_gathered_without_sorting_them(spark, tmp_path):
+    """However many come twice, also across batches; no batch is sorted to find the first of each."""
+    digests = spark.range(3000).selectExpr(
+        "'2025-04-10T12:00:00Z' as datetime_utc",
+        "if(id % 1000 = 7, null, concat('Recife ', id % 1000)) as location_name",
+        "'alert' as message",
+    )
+    sent, plans = [], []
+    outbox = str(tmp_path / "outbox")
+    each_once = alert_stream.each_once
+
+    def spy(frame):
+        plans.append(each_once(frame))
+        return plans[-1]
+
+    with patch.object(alert_stream, "each_once", spy):
+        for number in range(2):
+            alert_stream.deliver(digests, number, lambda batch, n: sent.append(batch.count()), outbox)
+    assert sent == [1000, 0] and len(plans) == 2
+    assert all("SortAggregate" not in plan_text(plan) for plan in plans)
+
+
 def test_a_digest_without_a_time_is_sent(spark, tmp_path):
     row = [(None, "A", "A", False, "s", "m")] * 2
     digests = spark.createDataFrame(
