@@ -13,8 +13,8 @@ from pyspark.sql.readwriter import DataFrameReader
 from skyledger.operators import gold
 from skyledger.operators.alerts import alert_inputs, alert_summary
 from skyledger.operators.silver import flatten, to_silver
-from skyledger.plans import refresh
-from skyledger.plans.storage import Deployment, load_folder, scratch_folder
+from skyledger.plans import queries, refresh
+from skyledger.plans.storage import Deployment, folder_bytes, load_folder, scratch_folder
 from skyledger.sinks import tables as sinks
 from skyledger.sources import commits
 from skyledger.sources.commits import committed_loads
@@ -514,6 +514,63 @@ def test_a_digest_without_a_time_is_sent(spark, tmp_path):
     assert sent == [1, 0]
 
 
+def _digests(spark, first, behind):
+    return spark.range(first, behind).selectExpr(
+        "concat('2025-04-', 10 + id % 3, 'T12:00:00Z') as datetime_utc",
+        "concat('Recife ', id) as location_name",
+        "'alert' as message",
+    )
+
+
+def _shuffle_files(spark):
+    files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {name for name in files.split("\n") if "shuffle_" in name}
+
+
+def test_a_batch_that_was_sent_in_part_sends_the_rest(spark, tmp_path):
+    outbox, sent = str(tmp_path / "outbox"), []
+
+    def send(batch, number):
+        sent.append({(r.digest_id, r.location_name) for r in batch.collect()})
+
+    for number, (first, behind) in enumerate([(0, 100), (50, 150), (0, 150)]):
+        alert_stream.deliver(_digests(spark, first, behind), number, send, outbox)
+    assert [len(batch) for batch in sent] == [100, 50, 0]
+    assert {name for _, name in sent[1]} == {f"Recife {i}" for i in range(100, 150)}
+    notes = spark.read.parquet(f"{outbox}/sent")
+    assert {r.digest_id for r in notes.collect()} == {i for batch in sent for i, _ in batch}
+    assert notes.count() == 150
+
+
+def test_a_delivered_batch_leaves_its_notes_alone(spark, tmp_path):
+    """On disk, neither the digests that waited nor what was shuffled to find them stays."""
+    before = _shuffle_files(spark)
+    outbox = tmp_path / "outbox"
+    for number in range(2):
+        digests = _digests(spark, 100 * number, 100 * number + 200).unionByName(_digests(spark, 0, 9))
+        alert_stream.deliver(digests, number, lambda batch, n: None, str(outbox))
+        assert not _shuffle_files(spark) - before
+    folders = {p.relative_to(outbox).parts[0] for p in outbox.rglob("*.parquet")}
+    assert folders == {"sent"}
+
+
+def test_envelopes_of_the_outbox_are_compressed(spark, tmp_path):
+    spark.range(2000).selectExpr(
+        "id as event_id",
+        "timestamp_seconds(1704067200 + id * 61) as ts",
+        "id % 90 as user_id",
+        "if(id % 9 = 0, 'error', 'view') as event_type",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    with patch.object(queries, "scratch_folder", lambda spark, label: f"{tmp_path}/{label}"):
+        found = queries.alerts_outbox(spark, str(tmp_path))
+    assert found.count() == found.distinct().count() > 1000
+    envelopes = f"{tmp_path}/outbox/envelopes"
+    texts = spark.read.text(envelopes)
+    assert texts.count() == 4000  # both copies
+    characters = texts.agg(F.sum(F.length("value"))).first()[0]
+    assert folder_bytes(spark, envelopes) * 3 < characters
+
+
 def test_relational_sinks_pass_their_options(spark, documents):
     frame = spark.range(1)
     with patch.object(DataFrameWriter, "jdbc") as jdbc:
