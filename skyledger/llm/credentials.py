@@ -2,8 +2,9 @@
 
 Strong spans are reported by themselves. A weak candidate (an identifier, a secret value or an
 endpoint that would be noise alone) is reported only where the parts that complete it stand near:
-an identifier and a secret need each other, an endpoint needs both. Every weak candidate reaches
-``scope`` characters to both sides, and an interval join by cells of that width finds the parts
+an identifier and a secret need each other, an endpoint needs both. A secret longer than the scope
+keeps the two others apart by itself, so an endpoint near it needs no identifier of its own. Every weak
+candidate reaches ``scope`` characters to both sides, and an interval join by cells of that width finds the parts
 inside.
 
 Offsets are code points. Pieces between matches and matches are measured one by one, and their
@@ -137,8 +138,8 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """
     weak_kinds = [i for i, k in enumerate(KINDS) if k.weak]
     strong = found.where(~_is(weak_kinds))
-    weak = found.where(_is(weak_kinds))
     role = F.element_at(F.array(*(F.lit(k.role) for k in KINDS)), F.col("kind") + 1)
+    is_long = (role == "secret") & (F.col("stop") - F.col("start") > scope)
     cell = F.floor(F.col("start") / scope)
 
     def reach(frame: DataFrame) -> DataFrame:
@@ -146,10 +147,11 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
         first, last = F.floor((F.col("start") - scope) / scope), F.floor((F.col("stop") + scope) / scope)
         return frame.withColumn("cell", F.explode(F.sequence(first, last)))
 
+    covered = F.explode(F.sequence(cell, F.floor((F.col("stop") - 1) / scope)))
     # a part lies in every cell it covers; cells of one pair are compared once, see the distinct
     parts = found.select(
         *KEY,
-        F.explode(F.sequence(cell, F.floor((F.col("stop") - 1) / scope))).alias("cell"),
+        covered.alias("cell"),
         F.col("kind").alias("other_kind"),
         role.alias("other_role"),
         F.col("start").alias("other_start"),
@@ -161,7 +163,7 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
         F.max("other_stop").alias("high"),
         F.collect_set(F.struct("other_start", "other_stop")).alias("spans"),
     )
-    pairs = reach(weak).join(parts, [*KEY, "cell"])
+    pairs = reach(found.where(_is(weak_kinds) | is_long)).join(parts, [*KEY, "cell"])
     near = F.exists(
         "spans",
         lambda s: (s["other_start"] < F.col("stop") + scope)
@@ -187,8 +189,22 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
         .when(F.col("role") == "secret", F.col("has_identifier"))
         .otherwise(F.col("has_identifier") & F.col("has_secret"))
     )
-    reported = told.where(complete & ~F.col("overlaps"))
-    return strong.unionByName(reported.select(*strong.columns))
+    own = _is(weak_kinds) & ~F.col("overlaps")
+    reported = told.where(complete & own)
+    bridges = told.where(is_long & F.col("has_identifier") & (own | _is(strong_kinds))).select(
+        *KEY,
+        covered.alias("cell"),
+        F.col("start").alias("other_start"),
+        F.col("stop").alias("other_stop"),
+    )
+    apart = told.where((F.col("role") == "endpoint") & own & ~F.col("has_identifier"))
+    bridged = reach(apart).join(bridges, [*KEY, "cell"]).where(
+        (F.col("other_start") < F.col("stop") + scope) & (F.col("other_stop") > F.col("start") - scope)
+    )
+    return (
+        strong.unionByName(reported.select(*strong.columns))
+        .unionByName(bridged.select(*strong.columns).distinct())
+    )
 
 
 def _written(spans: Column) -> Column:
